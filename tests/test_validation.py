@@ -1,0 +1,173 @@
+from collections import Counter
+
+import pytest
+from frames import ORDER, PRICE, STOCK, plan, raw, rows
+from pyspark.sql import functions as F
+
+from tradeflow.plans import validation as v
+from tradeflow.sources.schemas import PROVENANCE, REASON, SOURCE_FILE
+
+
+def reasons(bad):
+    return [r[REASON] for r in bad.collect()]
+
+
+ORDER_CASES = [
+    (dict(order_id=None), "MISSING_ORDER_ID"),
+    (dict(product_id=None), "MISSING_PRODUCT_ID"),
+    (dict(quantity="0"), "INVALID_QUANTITY"),
+    (dict(quantity="-3"), "INVALID_QUANTITY"),
+    (dict(quantity="abc"), "INVALID_QUANTITY"),
+    (dict(quantity="1.5"), "INVALID_QUANTITY"),
+    (dict(quantity=None), "INVALID_QUANTITY"),
+    (dict(unit_price="0"), "INVALID_PRICE"),
+    (dict(unit_price="-1"), "INVALID_PRICE"),
+    (dict(unit_price="NaN"), "INVALID_PRICE"),
+    (dict(unit_price="Infinity"), "INVALID_PRICE"),
+    (dict(unit_price=None), "INVALID_PRICE"),
+    (dict(ordered_at="NOT-A-DATE"), "INVALID_TIMESTAMP"),
+    (dict(ordered_at="2026"), "INVALID_TIMESTAMP"),
+    (dict(ordered_at="2026-07"), "INVALID_TIMESTAMP"),
+    (dict(ordered_at="12:30"), "INVALID_TIMESTAMP"),
+    (dict(ordered_at=None), "INVALID_TIMESTAMP"),
+    # The first failing rule names the row.
+    (dict(order_id=None, product_id=None), "MISSING_ORDER_ID"),
+    (dict(product_id=None, quantity="0"), "MISSING_PRODUCT_ID"),
+    (dict(quantity="0", unit_price="0"), "INVALID_QUANTITY"),
+    (dict(unit_price="0", ordered_at="x"), "INVALID_PRICE"),
+]
+STOCK_CASES = [
+    (dict(product_id=None), "MISSING_PRODUCT_ID"),
+    (dict(warehouse=None), "MISSING_WAREHOUSE"),
+    (dict(updated_at="BAD-TIMESTAMP"), "INVALID_TIMESTAMP"),
+    (dict(product_id=None, warehouse=None, updated_at="x"), "MISSING_PRODUCT_ID"),
+    (dict(warehouse=None, updated_at="x"), "MISSING_WAREHOUSE"),
+]
+PRICE_CASES = [
+    (dict(product_id=None), "MISSING_PRODUCT_ID"),
+    (dict(old_price="0"), "INVALID_OLD_PRICE"),
+    (dict(old_price="NaN"), "INVALID_OLD_PRICE"),
+    (dict(new_price="-5"), "INVALID_NEW_PRICE"),
+    (dict(new_price=None), "INVALID_NEW_PRICE"),
+    (dict(changed_at="INVALID"), "INVALID_TIMESTAMP"),
+    (dict(old_price="0", new_price="0"), "INVALID_OLD_PRICE"),
+]
+
+
+def check_rules(spark, validate, default, cases):
+    """All cases in one frame; the case number travels in the provenance column."""
+    rejected = [{**change, SOURCE_FILE: str(i)} for i, (change, _) in enumerate(cases)]
+    good, bad = validate(raw(spark, default, *rejected))
+    assert good.isEmpty()
+    found = {int(r[SOURCE_FILE]): r[REASON] for r in bad.collect()}
+    assert found == {i: reason for i, (_, reason) in enumerate(cases)}
+
+
+def test_order_rules(spark, ansi):
+    check_rules(spark, v.validate_orders, ORDER, ORDER_CASES)
+
+
+def test_inventory_rules(spark, ansi):
+    check_rules(spark, v.validate_inventory, STOCK, STOCK_CASES)
+
+
+def test_price_rules(spark, ansi):
+    check_rules(spark, v.validate_price_events, PRICE, PRICE_CASES)
+
+
+def test_good_rows_are_typed(spark, ansi):
+    good, bad = v.validate_orders(raw(spark, ORDER, dict(quantity=" 7 ", ordered_at="2026-7-1")))
+    assert bad.isEmpty()
+    assert dict(good.dtypes) == dict(
+        order_id="string", product_id="string", channel="string", quantity="bigint", unit_price="double",
+        ordered_at="timestamp", _ingested_at="string", _source_file="string",
+    )
+    row = good.first()
+    assert (row.quantity, row.unit_price, str(row.ordered_at)) == (7, 100.0, "2026-07-01 00:00:00")
+
+
+def test_quarantine_keeps_raw_text(spark):
+    _, bad = v.validate_orders(raw(spark, ORDER, dict(quantity="abc", unit_price="x")))
+    row = bad.first()
+    assert (row.quantity, row.unit_price, row.ordered_at) == ("abc", "x", ORDER["ordered_at"])
+    assert bad.columns == [*ORDER, *PROVENANCE, REASON]
+
+
+def test_missing_channel_is_clean(spark):
+    good, bad = v.validate_orders(raw(spark, ORDER, dict(channel=None)))
+    assert good.first().channel is None and bad.isEmpty()
+
+
+def test_unknown_columns_leave_in_neither_output(spark):
+    frame = raw(spark, ORDER).withColumn("extra_field", F.lit("x"))
+    good, bad = v.validate_orders(frame)
+    assert "extra_field" not in good.columns + bad.columns
+
+
+@pytest.mark.parametrize("quantity, flag", [("-5", True), ("0", False), (None, None), ("abc", None)])
+def test_negative_stock_is_flagged_not_rejected(spark, quantity, flag):
+    good, bad = v.validate_inventory(raw(spark, STOCK, dict(quantity=quantity)))
+    assert good.first().negative_stock is flag and bad.isEmpty()
+
+
+def test_latest_order_survives(spark):
+    frame = raw(
+        spark, ORDER,
+        dict(quantity="1"),
+        dict(quantity="2", ordered_at="2026-07-02T10:00:00Z"),
+        dict(order_id="o2"),
+    )
+    good, bad = v.validate_orders(frame)
+    assert rows(good, "order_id", "quantity") == [("o1", 2), ("o2", 2)]
+    assert rows(bad, "order_id", "quantity", REASON) == [("o1", "1", "DUPLICATE_ORDER")]
+
+
+def test_an_invalid_copy_does_not_replace_a_valid_one(spark):
+    frame = raw(spark, ORDER, dict(), dict(quantity="0", ordered_at="2026-07-09T10:00:00Z"))
+    good, bad = v.validate_orders(frame)
+    assert rows(good, "quantity") == [(2,)]
+    assert reasons(bad) == ["INVALID_QUANTITY"]
+
+
+def test_instants_are_compared_not_texts(spark):
+    later = "2026-07-01T09:30:00-01:00"
+    frame = raw(spark, ORDER, dict(quantity="1"), dict(quantity="5", ordered_at=later))
+    good, _ = v.validate_orders(frame)
+    assert good.first().quantity == 5
+
+
+TIES = [
+    dict(product_id="a"), dict(product_id="b", channel=None), dict(product_id="b", channel="x"),
+    dict(product_id="b", channel="x"), dict(product_id="b", channel="x", quantity="1"),
+]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_ties_resolve_by_content_and_copies_stay_whole(spark, hot):
+    frame = raw(spark, ORDER, *TIES, dict(order_id=None), dict(order_id="o2")).repartition(3)
+    options = dict(min_rows=3) if hot else {}
+    labelled = v.label(frame, v.ORDERS, **options)
+    assert ("Union" in plan(labelled)) == hot
+    good, bad = v.select_clean(labelled, v.ORDERS), v.select_quarantined(labelled, v.ORDERS)
+    assert rows(good) == rows(v.clean(frame, v.ORDERS))
+    assert rows(good, "order_id", "product_id", "channel", "quantity") == [("o1", "b", "x", 2), ("o2", "p1", "web", 2)]
+    assert Counter(reasons(bad)) == {"DUPLICATE_ORDER": 4, "MISSING_ORDER_ID": 1}
+    kept = rows(bad.filter("order_id = 'o1'"), "product_id", "channel", "quantity")
+    assert kept == [("a", "web", "2"), ("b", "x", "1"), ("b", "x", "2"), ("b", None, "2")]
+
+
+def test_process_writes_what_it_returns(spark, folder):
+    frame = raw(spark, ORDER, *TIES, dict(quantity="0"))
+    frame.write.parquet(f"{folder}/raw")
+    good, bad = v.process_orders(spark, f"{folder}/raw", f"{folder}/clean", f"{folder}/bad")
+    assert (good.count(), bad.count()) == (1, 5)
+    assert rows(spark.read.parquet(f"{folder}/clean")) == rows(good)
+    assert rows(spark.read.parquet(f"{folder}/bad")) == rows(bad)
+
+
+def test_process_other_feeds(spark, folder):
+    raw(spark, STOCK, dict(), dict(warehouse=None)).write.parquet(f"{folder}/i")
+    raw(spark, PRICE, dict(), dict(old_price="0"), dict()).write.parquet(f"{folder}/p")
+    stock = v.process_inventory(spark, f"{folder}/i", f"{folder}/ic", f"{folder}/iq")
+    price = v.process_price_events(spark, f"{folder}/p", f"{folder}/pc", f"{folder}/pq")
+    assert [df.count() for df in (*stock, *price)] == [1, 1, 2, 1]

@@ -30,5 +30,10 @@ def is_missing(value: Column) -> Column:
 
 
 def is_not_positive(value: Column) -> Column:
+    """True unless the value is known to be above zero."""
+    return ~F.coalesce(value > 0, F.lit(False))
+
+
+def is_not_price(value: Column) -> Column:
     """True unless the value is a finite number above zero; NaN sorts above infinity in Spark."""
-    return ~F.coalesce((value > 0) & (value.cast("double") < float("inf")), F.lit(False))
+    return ~F.coalesce((value > 0) & (value < float("inf")), F.lit(False))

@@ -13,14 +13,20 @@ TRACKED_KEYS = 20_000
 SKETCH_GROUPS = 256
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], hashed: bool = False
+) -> DataFrame:
     """One row per key.
 
     The ``= 1`` filter lets Spark keep one row per key in every map task before the shuffle,
-    so a key that holds a third of all rows arrives as one row per task.
+    so a key that holds a third of all rows arrives as one row per task. ``hashed`` puts a hash in
+    front of the keys, so that long ids are sorted as numbers; without it the result keeps a
+    partitioning that a join on the keys can use.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    source = df.withColumn("_hash", key_hash(keys)) if hashed else df
+    partition = ["_hash", *keys] if hashed else keys
+    rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*newest_first))
+    return source.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_hash", "_rank")
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -38,8 +44,10 @@ def hot_keys(
     A frequent-items sketch replaces a count per key, so that no key is shuffled; the sketches are
     merged in ``SKETCH_GROUPS`` tasks before the last one. At most ``max_keys`` numbers reach the
     driver. The list only steers how rows are spread over tasks: a key missing from it, or one too
-    many, changes no result.
+    many, changes no result. A stored table of fewer rows than that is recognized from its footers.
     """
+    if df.count() < min_rows:
+        return []
     sketches = (
         df.filter(F.coalesce(*[F.col(key) for key in keys]).isNotNull())
         .select(key_hash(keys).alias("_key"), F.spark_partition_id().alias("_part"))
@@ -68,35 +76,33 @@ def mark_superseded(
     partition key, so rows with NULL keys never meet in one task. Keys named in ``hot`` take a
     separate path: first the best row per key and source partition, then the best of those.
     """
-    in_play = df.withColumn("_in_play", eligible)
-    if not hot:
-        return _mark(in_play, keys, newest_first, flag)
-    is_hot = F.col("_in_play") & key_hash(keys).isin(list(hot))
-    usual = _mark(in_play.filter(~is_hot), keys, newest_first, flag)
-    frequent = _mark_in_two_steps(in_play.filter(is_hot), keys, newest_first, flag)
-    return usual.unionByName(frequent)
+    in_play = df.withColumns({"_in_play": eligible, "_hash": key_hash(keys)})
+    if hot:
+        is_hot = F.col("_in_play") & F.col("_hash").isin(list(hot))
+        usual = _mark(in_play.filter(~is_hot), keys, newest_first, flag)
+        frequent = _mark_in_two_steps(in_play.filter(is_hot), keys, newest_first, flag)
+        marked = usual.unionByName(frequent)
+    else:
+        marked = _mark(in_play, keys, newest_first, flag)
+    return marked.drop("_in_play", "_hash")
 
 
 def _mark(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], flag: str) -> DataFrame:
     slot = F.when(F.col("_in_play"), F.lit(-1)).otherwise(F.spark_partition_id())
-    rank = F.row_number().over(Window.partitionBy(*keys, "_slot").orderBy(*newest_first))
-    return (
-        df.withColumn("_slot", slot)
-        .withColumn(flag, (rank > 1) & F.col("_in_play"))
-        .drop("_slot", "_in_play")
-    )
+    rank = F.row_number().over(Window.partitionBy("_hash", *keys, "_slot").orderBy(*newest_first))
+    return df.withColumn("_slot", slot).withColumn(flag, (rank > 1) & F.col("_in_play")).drop("_slot")
 
 
 def _mark_in_two_steps(
     df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], flag: str
 ) -> DataFrame:
-    within = Window.partitionBy(*keys, "_slot").orderBy(*newest_first)
-    across = Window.partitionBy(*keys, "_stage").orderBy(*newest_first)
+    within = Window.partitionBy("_hash", *keys, "_slot").orderBy(*newest_first)
+    across = Window.partitionBy("_hash", *keys, "_stage").orderBy(*newest_first)
     return (
         df.withColumn("_slot", F.spark_partition_id())
         .withColumn("_rank", F.row_number().over(within))
         # The best rows of all source partitions share stage -1; the others stay where they are.
         .withColumn("_stage", F.when(F.col("_rank") == 1, F.lit(-1)).otherwise(F.col("_slot")))
         .withColumn(flag, (F.col("_rank") > 1) | (F.row_number().over(across) > 1))
-        .drop("_slot", "_rank", "_stage", "_in_play")
+        .drop("_slot", "_rank", "_stage")
     )

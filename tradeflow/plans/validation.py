@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.functions.typed import is_missing, is_not_positive, to_double, to_instant, to_long
+from tradeflow.functions.typed import is_missing, is_not_positive, is_not_price, to_double, to_instant, to_long
 from tradeflow.operators.latest import hot_keys, latest_per_key, mark_superseded
 from tradeflow.operators.rules import Rule, label_first
 from tradeflow.sources import tables
@@ -47,7 +47,7 @@ ORDERS = Feed(
         Rule("MISSING_ORDER_ID", "order_id", is_missing),
         Rule("MISSING_PRODUCT_ID", "product_id", is_missing),
         Rule("INVALID_QUANTITY", "quantity", is_not_positive),
-        Rule("INVALID_PRICE", "unit_price", is_not_positive),
+        Rule("INVALID_PRICE", "unit_price", is_not_price),
         Rule("INVALID_TIMESTAMP", "ordered_at", is_missing),
     ),
     unique_key=("order_id",),
@@ -73,8 +73,8 @@ PRICE_EVENTS = Feed(
     casts={"old_price": to_double, "new_price": to_double, "changed_at": to_instant},
     rules=(
         Rule("MISSING_PRODUCT_ID", "product_id", is_missing),
-        Rule("INVALID_OLD_PRICE", "old_price", is_not_positive),
-        Rule("INVALID_NEW_PRICE", "new_price", is_not_positive),
+        Rule("INVALID_OLD_PRICE", "old_price", is_not_price),
+        Rule("INVALID_NEW_PRICE", "new_price", is_not_price),
         Rule("INVALID_TIMESTAMP", "changed_at", is_missing),
     ),
 )
@@ -115,11 +115,18 @@ def select_quarantined(labelled: DataFrame, feed: Feed) -> DataFrame:
 
 
 def clean(raw: DataFrame, feed: Feed) -> DataFrame:
-    """Clean rows alone. Duplicates are dropped in the map tasks, so frequent keys need no care."""
-    valid = label_rows(raw, feed).filter(F.col(REASON).isNull())
+    """Clean rows alone.
+
+    For a feed with a unique key, each map task keeps the best row per key, valid rows before
+    invalid ones, so neither a frequent key nor missing keys are gathered. The reason is tested
+    after that: as a filter before it, Spark would copy all conversions into the filter.
+    """
+    labelled = label_rows(raw, feed)
     if feed.unique_key:
-        valid = latest_per_key(valid, feed.unique_key, feed.newest_first())
-    return select_clean(valid, feed)
+        valid_first = F.col(REASON).asc_nulls_first()
+        order = [valid_first, *feed.newest_first()]
+        labelled = latest_per_key(labelled, feed.unique_key, order, hashed=True)
+    return select_clean(labelled, feed)
 
 
 def quarantined(raw: DataFrame, feed: Feed, key_probe: DataFrame | None = None) -> DataFrame:

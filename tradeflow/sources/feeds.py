@@ -30,7 +30,10 @@ def _product_id(number: Column) -> Column:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as text. Orders and customers meet first, so line items are shuffled once."""
+    """Orders as text. Orders and customers meet first, so line items are shuffled once.
+
+    Both sides of the join with line items grow with the data, hence no broadcast.
+    """
     items = tables.read(spark, f"{sf_dir}/lineitem.parquet")
     orders = tables.read(spark, f"{sf_dir}/orders.parquet")
     customers = tables.read(spark, f"{sf_dir}/customer.parquet")
@@ -54,7 +57,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered_at = F.when(key % 109 == 9, F.lit("NOT-A-DATE")).otherwise(
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T"), hour, F.lit(":15:00Z"))
     )
-    return items.join(channels, key == F.col("o_orderkey")).select(
+    return items.join(channels.hint("merge"), key == F.col("o_orderkey")).select(
         _order_id().alias("order_id"),
         F.when(key % 103 == 1, F.lit(None)).otherwise(_product_id(F.col("l_partkey"))).alias("product_id"),
         F.when(key % 89 == 2, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("channel"),
