@@ -139,3 +139,21 @@ def test_versions_prune_partitions_and_images_are_cut_in_the_map_tasks(spark, fo
     text = plan(c.as_of(c.read_log(spark, log), ["order_id"], 0)).split("== Physical Plan ==")[1]
     assert "PartitionFilters: [isnotnull(_version" in text
     assert text.count("WindowGroupLimit") == 2
+
+
+def test_batches_beyond_the_broadcast_bound_give_the_same_log(spark, folder, monkeypatch):
+    for bound in (c.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(c, "BROADCAST_KEYS", bound)
+        log = f"{folder}/log{bound}"
+        c.append(spark, batch(spark, o1=1, o2=1, o3=1), log, ["order_id"])
+        c.append(spark, batch(spark, o2=5, o3=1, o4=2), log, ["order_id"])
+        columns = ("order_id", "quantity", "_version", "_operation")
+        assert rows(c.read_log(spark, log), *columns) == [
+            ("o1", 1, 0, "insert"), ("o2", 1, 0, "insert"), ("o2", 5, 1, "update"),
+            ("o3", 1, 0, "insert"), ("o4", 2, 1, "insert"),
+        ]
+
+
+def test_batch_size(spark):
+    size = c.check_batch(batch(spark, o1=1, o22=1), ["order_id"])
+    assert (size.rows, size.key_bytes) == (2, 5) and size.keys_fit_in_memory()

@@ -95,6 +95,10 @@ def test_top_k_breaks_ties_by_content(spark):
     assert "TakeOrderedAndProject" in plan(top)
 
 
+def test_preview(spark):
+    assert s.preview(spark.range(100)).count() == 5 and s.preview(spark.range(2), 10).count() == 2
+
+
 def test_missing_metric_is_empty(spark, folder):
     table = s.load_metric(spark, folder, "inventory_risk")
     assert table.schema == INVENTORY_RISK and table.isEmpty()

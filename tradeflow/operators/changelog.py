@@ -8,6 +8,7 @@ writer at a time; commit times never decrease with the version.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,24 +24,41 @@ LOG_COLUMNS = (VERSION, OPERATION, COMMITTED_AT)
 RETENTION_HOURS = 168.0
 HISTORY_ROWS = 20
 
+# A batch up to this size is sent to every executor, to read only its own keys from the log.
+BROADCAST_KEYS = 500_000
+BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 
-def check_batch(updates: DataFrame, keys: Sequence[str]) -> None:
-    """Raise unless every row of the batch has a complete key of its own."""
+
+@dataclass(frozen=True)
+class BatchSize:
+    rows: int
+    key_bytes: int
+
+    def keys_fit_in_memory(self) -> bool:
+        return self.rows <= BROADCAST_KEYS and self.key_bytes <= BROADCAST_KEY_BYTES
+
+
+def check_batch(updates: DataFrame, keys: Sequence[str]) -> BatchSize:
+    """Raise unless every row of the batch has a complete key of its own; return its size."""
     if not keys:
         raise ValueError("name at least one key column")
     missing = [k for k in keys if k not in updates.columns]
     if missing:
         raise ValueError(f"key columns not in the batch: {missing}")
     incomplete = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1
+    length = F.octet_length(F.concat_ws("", *[F.col(k).cast("string") for k in keys]))
     per_key = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    bad = per_key.agg(
+    found = per_key.agg(
         F.coalesce(F.sum(F.when(incomplete, F.col("_n"))), F.lit(0)).alias("null_rows"),
         F.count_if(~incomplete & (F.col("_n") > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(length), F.lit(0)).alias("key_bytes"),
     ).first()
-    if bad["null_rows"] or bad["repeated_keys"]:
+    if found["null_rows"] or found["repeated_keys"]:
         raise ValueError(
-            f"batch has {bad['null_rows']} rows with a NULL key and {bad['repeated_keys']} repeated keys"
+            f"batch has {found['null_rows']} rows with a NULL key and {found['repeated_keys']} repeated keys"
         )
+    return BatchSize(found["rows"], found["key_bytes"])
 
 
 def upsert(current: DataFrame | None, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -88,23 +106,21 @@ def append(
     A version becomes visible when Spark commits its write job; a job that failed before that is
     replaced when the batch is sent again. A batch that changes nothing adds no version.
     """
-    check_batch(updates, keys)
+    size = check_batch(updates, keys)
     log = _existing(spark, log_path)
-    last = None if log is None else log.agg(F.max(VERSION), F.max(COMMITTED_AT)).first()
-    if last is None or last[0] is None:
-        version, floor, current = 0, None, None
-    else:
-        version, floor, current = last[0] + 1, last[1], as_of(log, keys, last[0])
-    now = committed_at or datetime.now(timezone.utc)
-    stamp = F.lit(now)
-    if floor is not None:
-        stamp = F.greatest(stamp, F.lit(floor))
+    newest = None if log is None else newest_version(log).first()[0]
+    current, stamp = None, F.lit(committed_at or datetime.now(timezone.utc))
+    if newest is not None:
+        last = log.filter(F.col(VERSION) == newest).select(COMMITTED_AT).first()[0]
+        stamp = F.greatest(stamp, F.lit(last))
+        if size.keys_fit_in_memory():
+            log = log.join(F.broadcast(updates.select(*keys)), list(keys), "left_semi")
+        current = as_of(log, keys, newest)
+    version = 0 if newest is None else newest + 1
     rows = changes(current, updates, keys).withColumn(COMMITTED_AT, stamp)
     rows.write.mode("overwrite").parquet(f"{log_path}/{VERSION}={version}")
     written = spark.read.schema(rows.schema).parquet(f"{log_path}/{VERSION}={version}")
-    if written.isEmpty():
-        return None if version == 0 else version - 1
-    return version
+    return newest if written.isEmpty() else version
 
 
 merge_upsert = append

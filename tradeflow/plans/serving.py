@@ -32,6 +32,11 @@ def load_metric(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tables.read_or_empty(spark, f"{folder}/{name}", METRIC_SCHEMAS[name])
 
 
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few rows to look at, in no order."""
+    return df.limit(rows)
+
+
 def newest_revenue(revenue: DataFrame, rows: int = REVENUE_ROWS) -> DataFrame:
     return revenue.orderBy(F.desc("date"), F.asc_nulls_first("channel")).limit(rows)
 
