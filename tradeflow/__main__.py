@@ -1,6 +1,6 @@
 """Run the whole batch over source files and print what it did.
 
-    spark-submit tradeflow/__main__.py ORDERS.jsonl INVENTORY.csv PRICE_EVENTS.jsonl OUTPUT_FOLDER
+    python -m tradeflow ORDERS.jsonl INVENTORY.csv PRICE_EVENTS.jsonl OUTPUT_FOLDER
 """
 
 from __future__ import annotations

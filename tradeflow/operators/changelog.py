@@ -103,6 +103,8 @@ def append(
 ) -> int | None:
     """Commit a batch and return the newest version, None while the log has no rows.
 
+    The batch is read several times, so it should be stored rows and not a long computation.
+
     A version becomes visible when Spark commits its write job; a job that failed before that is
     replaced when the batch is sent again. A batch that changes nothing adds no version.
     """
