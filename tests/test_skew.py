@@ -27,6 +27,20 @@ def test_sketch_finds_the_hot_key_only(spark, skewed):
     assert hot_keys(skewed, ["order_id"]) == []
 
 
+def test_no_keys_at_all(spark):
+    keyless = spark.range(100).select(F.lit(None).cast("string").alias("k"))
+    assert hot_keys(keyless, ["k"], min_rows=10) == []
+    assert hot_keys(keyless.limit(0), ["k"], min_rows=0) == []
+
+
+def test_several_key_columns(spark):
+    pairs = spark.range(100).selectExpr("'a' AS k", "id % 2 AS l", "id AS n")
+    hot = hot_keys(pairs, ["k", "l"], min_rows=40)
+    assert len(hot) == 2
+    marked = mark_superseded(pairs, ["k", "l"], [F.desc("n")], F.lit(True), "old", hot)
+    assert rows(marked.filter("NOT old"), "l", "n") == [(0, 98), (1, 99)]
+
+
 @pytest.mark.parametrize("min_rows", [900, 10**9])
 def test_labelling_agrees_with_brute_force(spark, skewed, min_rows):
     labelled = v.label(skewed, v.ORDERS, min_rows=min_rows)

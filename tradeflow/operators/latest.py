@@ -49,13 +49,15 @@ def hot_keys(
     if df.count() < min_rows:
         return []
     sketches = (
-        df.filter(F.coalesce(*[F.col(key) for key in keys]).isNotNull())
+        df.dropna("all", subset=list(keys))
         .select(key_hash(keys).alias("_key"), F.spark_partition_id().alias("_part"))
         .groupBy((F.col("_part") % SKETCH_GROUPS).alias("_group"))
         .agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("_sketch"))
     )
     top = (
-        sketches.agg(F.expr("approx_top_k_combine(_sketch)").alias("_sketch"))
+        # Grouped, because the merge fails on no sketches at all, as when every key is NULL.
+        sketches.groupBy(F.lit("all"))
+        .agg(F.expr("approx_top_k_combine(_sketch)").alias("_sketch"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {max_keys})")).alias("_top"))
         .filter(F.col("_top.count") >= min_rows)
     )
