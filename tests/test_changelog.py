@@ -30,7 +30,7 @@ def test_first_call_creates_and_replay_changes_nothing(spark, folder, ansi):
         assert c.merge_upsert(spark, batch(spark, o1=1, o2=2), log, ["order_id"]) == 0
     assert c.table_exists(spark, log)
     assert c.latest_version(spark, log) == 0
-    assert state(c.read_version(spark, log, ["order_id"], 0)) == dict(o1=1, o2=2)
+    assert state(c.read_version(spark, log, 0)) == dict(o1=1, o2=2)
     assert c.table_history(spark, log).count() == 1
 
 
@@ -38,7 +38,7 @@ def test_update_and_insert_in_one_batch(spark, folder):
     log = f"{folder}/log"
     c.merge_upsert(spark, batch(spark, o1=1, o2=1), log, ["order_id"])
     assert c.merge_upsert(spark, batch(spark, o1=9, o2=1, o3=4), log, ["order_id"]) == 1
-    assert state(c.read_version(spark, log, ["order_id"], 1)) == dict(o1=9, o2=1, o3=4)
+    assert state(c.read_version(spark, log, 1)) == dict(o1=9, o2=1, o3=4)
     assert rows(c.table_history(spark, log), "_version", "rows", "inserted", "updated") == [
         (0, 2, 2, 0), (1, 2, 1, 1),
     ]
@@ -48,11 +48,11 @@ def test_old_versions_stay_readable(spark, folder):
     log = f"{folder}/log"
     c.merge_upsert(spark, batch(spark, o1=2), log, ["order_id"])
     c.merge_upsert(spark, batch(spark, o1=99), log, ["order_id"])
-    assert state(c.read_version(spark, log, ["order_id"], 0)) == dict(o1=2)
-    assert state(c.read_version(spark, log, ["order_id"], 1)) == dict(o1=99)
+    assert state(c.read_version(spark, log, 0)) == dict(o1=2)
+    assert state(c.read_version(spark, log, 1)) == dict(o1=99)
     for absent in (-1, 2):
         with pytest.raises(ValueError):
-            c.read_version(spark, log, ["order_id"], absent)
+            c.read_version(spark, log, absent)
 
 
 def test_null_values_are_compared(spark, folder):
@@ -125,11 +125,11 @@ def test_vacuum_writes_a_smaller_log_with_the_same_state(spark, folder):
     old = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
     for q in range(3):
         c.append(spark, batch(spark, o1=q, o2=1), log, ["order_id"], old)
-    kept = c.vacuum_table(spark, log, f"{folder}/kept", ["order_id"])
+    kept = c.vacuum_table(spark, log, f"{folder}/kept")
     assert rows(kept, "order_id", "_version", "quantity") == [("o1", 2, 2), ("o2", 0, 1)]
-    assert state(c.read_version(spark, f"{folder}/kept", ["order_id"], 2)) == dict(o1=2, o2=1)
+    assert state(c.read_version(spark, f"{folder}/kept", 2)) == dict(o1=2, o2=1)
     assert c.merge_upsert(spark, batch(spark, o3=1), f"{folder}/kept", ["order_id"]) == 3
-    fresh = c.vacuum_table(spark, log, f"{folder}/all", ["order_id"], retention_hours=24 * 365 * 100)
+    fresh = c.vacuum_table(spark, log, f"{folder}/all", retention_hours=24 * 365 * 100)
     assert fresh.count() == c.read_log(spark, log).count()
 
 
@@ -157,3 +157,14 @@ def test_batches_beyond_the_broadcast_bound_give_the_same_log(spark, folder, mon
 def test_batch_size(spark):
     size = c.check_batch(batch(spark, o1=1, o22=1), ["order_id"])
     assert (size.rows, size.key_bytes) == (2, 5) and size.keys_fit_in_memory()
+
+
+def test_a_log_keeps_its_keys(spark, folder):
+    log = f"{folder}/log"
+    two = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "k string, l string, q long")
+    c.merge_upsert(spark, two, log, ["k", "l"])
+    c.merge_upsert(spark, two.filter("l = 'y'").withColumn("q", two.q + 1), log, ["l", "k"])
+    assert c.key_columns(c.read_log(spark, log)) == ["k", "l"]
+    assert rows(c.read_version(spark, log, 1)) == [("a", "x", 1), ("a", "y", 3)]
+    with pytest.raises(ValueError, match="keyed by"):
+        c.merge_upsert(spark, two.limit(1), log, ["k"])

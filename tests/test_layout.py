@@ -89,3 +89,9 @@ def test_z_value_interleaves_bits(spark):
 def test_unknown_columns(spark, scattered, folder, columns):
     with pytest.raises(ValueError):
         layout.cluster(spark, scattered, f"{folder}/out", columns)
+
+
+def test_optimize_keeps_rows(spark, scattered, folder):
+    before = rows(spark.read.parquet(scattered))
+    assert rows(layout.optimize_table(spark, scattered, f"{folder}/one")) == before
+    assert rows(layout.optimize_table(spark, scattered, f"{folder}/two", zorder_by=["a"])) == before

@@ -1,8 +1,9 @@
 """Keyed upserts with versions, kept as a change log in plain Parquet.
 
 A log is a folder with one partition per version. Each row is the full image of a changed row plus
-``_version``, ``_operation`` ('insert' or 'update') and ``_committed_at``. Commits are made by one
-writer at a time; commit times never decrease with the version.
+``_version``, ``_operation`` ('insert' or 'update') and ``_committed_at``. The key columns are marked
+in the stored schema. Commits are made by one writer at a time; commit times never decrease with the
+version.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ VERSION = "_version"
 OPERATION = "_operation"
 COMMITTED_AT = "_committed_at"
 LOG_COLUMNS = (VERSION, OPERATION, COMMITTED_AT)
+KEY_MARK = "tradeflow.key"
 RETENTION_HOURS = 168.0
 HISTORY_ROWS = 20
 
@@ -113,13 +115,15 @@ def append(
     newest = None if log is None else newest_version(log).first()[0]
     current, stamp = None, F.lit(committed_at or datetime.now(timezone.utc))
     if newest is not None:
+        if sorted(key_columns(log)) != sorted(keys):
+            raise ValueError(f"the log is keyed by {key_columns(log)}, not by {list(keys)}")
         last = log.filter(F.col(VERSION) == newest).select(COMMITTED_AT).first()[0]
         stamp = F.greatest(stamp, F.lit(last))
         if size.keys_fit_in_memory():
             log = log.join(F.broadcast(updates.select(*keys)), list(keys), "left_semi")
         current = as_of(log, keys, newest)
     version = 0 if newest is None else newest + 1
-    rows = changes(current, updates, keys).withColumn(COMMITTED_AT, stamp)
+    rows = _mark_keys(changes(current, updates, keys).withColumn(COMMITTED_AT, stamp), keys)
     rows.write.mode("overwrite").parquet(f"{log_path}/{VERSION}={version}")
     written = spark.read.schema(rows.schema).parquet(f"{log_path}/{VERSION}={version}")
     return newest if written.isEmpty() else version
@@ -132,6 +136,10 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return tables.read(spark, log_path).withColumn(VERSION, F.col(VERSION).cast("bigint"))
 
 
+def key_columns(log: DataFrame) -> list[str]:
+    return [field.name for field in log.schema.fields if field.metadata.get(KEY_MARK)]
+
+
 def table_exists(spark: SparkSession, log_path: str) -> bool:
     return _existing(spark, log_path) is not None
 
@@ -146,11 +154,12 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
     return latest_per_key(upto, keys, [F.col(VERSION).desc()]).drop(*LOG_COLUMNS)
 
 
-def read_version(spark: SparkSession, log_path: str, keys: Sequence[str], version: int) -> DataFrame:
-    newest = latest_version(spark, log_path)
+def read_version(spark: SparkSession, log_path: str, version: int) -> DataFrame:
+    log = read_log(spark, log_path)
+    newest = newest_version(log).first()[0]
     if newest is None or not 0 <= version <= newest:
         raise ValueError(f"version {version} does not exist; the newest is {newest}")
-    return as_of(read_log(spark, log_path), keys, version)
+    return as_of(log, key_columns(log), version)
 
 
 def newest_version(log: DataFrame) -> DataFrame:
@@ -191,12 +200,13 @@ def vacuum_table(
     spark: SparkSession,
     log_path: str,
     output_path: str,
-    keys: Sequence[str],
     retention_hours: float = RETENTION_HOURS,
 ) -> DataFrame:
     """Write the log without images replaced more than ``retention_hours`` ago to a new path."""
     cutoff = datetime.now(timezone.utc) - timedelta(hours=retention_hours)
-    kept = expire(read_log(spark, log_path), keys, cutoff)
+    log = read_log(spark, log_path)
+    keys = key_columns(log)
+    kept = _mark_keys(expire(log, keys, cutoff), keys)
     # Ranges keep the files per version few and still split a version that holds most rows.
     placed = kept.repartitionByRange(F.col(VERSION), key_hash(keys))
     placed.write.mode("overwrite").partitionBy(VERSION).parquet(output_path)
@@ -208,6 +218,12 @@ def _existing(spark: SparkSession, log_path: str) -> DataFrame | None:
     return None if log is None else log.withColumn(VERSION, F.col(VERSION).cast("bigint"))
 
 
+def _mark_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for key in keys:
+        df = df.withMetadata(key, {KEY_MARK: True})
+    return df
+
+
 def _check_columns(current: DataFrame, updates: DataFrame) -> None:
     if sorted(current.columns) != sorted(updates.columns):
         raise ValueError(f"batch columns {updates.columns} differ from table columns {current.columns}")

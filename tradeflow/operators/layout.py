@@ -58,6 +58,15 @@ def cluster(
     return _write(ranged.select(*names), output_path, rows_per_file)
 
 
+def optimize_table(
+    spark: SparkSession, path: str, output_path: str, zorder_by: Sequence[str] | None = None
+) -> DataFrame:
+    """``cluster`` when columns are named, else ``compact``."""
+    if zorder_by:
+        return cluster(spark, path, output_path, zorder_by)
+    return compact(spark, path, output_path)
+
+
 def cut_points(df: DataFrame, columns: Sequence[str], rows: int, bits: int = BITS) -> dict[str, list]:
     """Up to ``2**bits - 1`` values that split each column evenly, from a sample of fixed size.
 

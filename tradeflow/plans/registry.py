@@ -422,7 +422,7 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     log_path = _logged(spark, sf_dir, (0, 1, 1, 1))
     newest = changelog.latest_version(spark, log_path)
-    rows = changelog.read_version(spark, log_path, ["order_id"], newest)
+    rows = changelog.read_version(spark, log_path, newest)
     return rows.withColumn("version", F.lit(newest).cast("bigint"))
 
 
