@@ -1,3 +1,4 @@
+import glob
 from collections import Counter
 
 import pytest
@@ -171,3 +172,14 @@ def test_process_other_feeds(spark, folder):
     stock = v.process_inventory(spark, f"{folder}/i", f"{folder}/ic", f"{folder}/iq")
     price = v.process_price_events(spark, f"{folder}/p", f"{folder}/pc", f"{folder}/pq")
     assert [df.count() for df in (*stock, *price)] == [1, 1, 2, 1]
+
+
+def test_the_kept_labels_are_coalesced_at_runtime(spark, folder):
+    raw(spark, ORDER, *TIES).write.parquet(f"{folder}/raw")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        v.process_orders(spark, f"{folder}/raw", f"{folder}/clean", f"{folder}/bad")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(glob.glob(f"{folder}/clean/*.parquet")) == 1

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tradeflow.functions.typed import is_missing, is_not_positive, is_not_price, to_double, to_instant, to_long
 from tradeflow.operators.latest import hot_keys, latest_per_key, mark_superseded
 from tradeflow.operators.rules import Rule, label_first
+from tradeflow.session import adaptive_cache
 from tradeflow.sources import tables
 from tradeflow.sources.schemas import DUPLICATE, PROVENANCE, REASON
 
@@ -147,7 +148,8 @@ def process(
     """
     labelled = label(tables.read(spark, raw_path), feed)
     if feed.unique_key:
-        labelled.persist(StorageLevel.MEMORY_AND_DISK)
+        with adaptive_cache(spark):
+            labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return (
             tables.overwrite(select_clean(labelled, feed), clean_path),

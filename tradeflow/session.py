@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +34,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive_cache(spark: SparkSession) -> Iterator[None]:
+    """Let frames persisted inside be re-planned at runtime; else they keep every shuffle partition."""
+    setting = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new, unused folder below ``spark.checkpoint.dir`` that all executors can reach.
 
