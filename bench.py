@@ -12,6 +12,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from tradeflow.plans.registry import QUERIES  # noqa: E402
 from tradeflow.session import build_session  # noqa: E402
 
@@ -39,6 +41,15 @@ HEADLINES = (
     "full_run",
 )
 
+# Untimed, so that the first timed query does not pay for starting the JVM and compiling its hot code.
+WARM_UP = ("quarantine_orders", "inventory_risk", "as_of")
+
+
+def run(spark: SparkSession, name: str, sf_dir: str) -> float:
+    start = time.perf_counter()
+    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - start, 3)
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,12 +63,9 @@ def main() -> None:
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("sum(l_quantity)").collect()
-    seconds = {}
-    for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+    for name in WARM_UP:
+        run(spark, name, sf_dir)
+    seconds = {name: run(spark, name, sf_dir) for name in names}
     line = {
         "metric": "headline queries, wall clock",
         "value": round(sum(seconds.values()), 3),

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-TRACKED_KEYS = 20_000
+MAX_HOT_KEYS = 20_000
+MAX_TRACKED_KEYS = 200_000
 SKETCH_GROUPS = 256
 
 
@@ -43,16 +43,19 @@ def hot_keys(
 
     A frequent-items sketch replaces a count per key, so that no key is shuffled; the sketches are
     merged in ``SKETCH_GROUPS`` tasks before the last one. At most ``max_keys`` numbers reach the
-    driver. The list only steers how rows are spread over tasks: a key missing from it, or one too
-    many, changes no result. A stored table of fewer rows than that is recognized from its footers.
+    driver, so only keys below one row in ``max_keys`` can be left out. The list only steers how
+    rows are spread over tasks: a key missing from it, or one too many, changes no result. A stored
+    table of fewer than ``min_rows`` rows is recognized from its footers.
     """
-    if df.count() < min_rows:
+    rows = df.count()
+    if rows < min_rows:
         return []
+    tracked = min(MAX_TRACKED_KEYS, max(max_keys, 4 * rows // max(min_rows, 1)))
     sketches = (
         df.dropna("all", subset=list(keys))
         .select(key_hash(keys).alias("_key"), F.spark_partition_id().alias("_part"))
         .groupBy((F.col("_part") % SKETCH_GROUPS).alias("_group"))
-        .agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("_sketch"))
+        .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("_sketch"))
     )
     top = (
         # Grouped, because the merge fails on no sketches at all, as when every key is NULL.
@@ -80,10 +83,12 @@ def mark_superseded(
     """
     in_play = df.withColumns({"_in_play": eligible, "_hash": key_hash(keys)})
     if hot:
-        is_hot = F.col("_in_play") & F.col("_hash").isin(list(hot))
-        usual = _mark(in_play.filter(~is_hot), keys, newest_first, flag)
-        frequent = _mark_in_two_steps(in_play.filter(is_hot), keys, newest_first, flag)
-        marked = usual.unionByName(frequent)
+        listed = F.broadcast(df.sparkSession.createDataFrame([(key,) for key in hot], "_hot bigint"))
+        # Rows that do not take part have no match, so they stay with the usual ones.
+        is_hot = F.when(F.col("_in_play"), F.col("_hash")) == F.col("_hot")
+        usual = _mark(in_play.join(listed, is_hot, "left_anti"), keys, newest_first, flag)
+        frequent = in_play.join(listed, is_hot, "left_semi")
+        marked = usual.unionByName(_mark_in_two_steps(frequent, keys, newest_first, flag))
     else:
         marked = _mark(in_play, keys, newest_first, flag)
     return marked.drop("_in_play", "_hash")
