@@ -20,6 +20,8 @@ BANDS = 20
 ROWS_PER_BAND = 4
 #: They agree in fewer than 50 of the 80 components with probability 0.0001.
 LEAST_AGREEMENT = 50
+#: Smallest shingle hashes kept of a text, and the similarity they must show before verification: 4 deviations below 0.8.
+SKETCH_SHINGLES, LEAST_ESTIMATE = 256, 0.7
 #: A task compares at most about this many texts with this many others of one bucket.
 PROBES, TARGETS = 256, 2048
 JOINED_PAIRS = 4096
@@ -164,16 +166,16 @@ def near_duplicate_classes(docs: DataFrame, store: Store, least: float = LEAST_S
 
 
 def _bucket_members(texts: DataFrame, store: Store) -> DataFrame:
-    """(bucket, doc_id, shingles, signature, central) of all texts in buckets of two or more.
+    """(bucket, band, doc_id, shingles, signature, central) of all texts in buckets of two or more.
 
     ``central`` is the number of texts in all of a text's buckets. The original of a group of edited
     copies resembles all of them and has the highest.
     """
-    exploded = texts.select("doc_id", "shingles", "signature", F.explode("bands").alias("bucket"))
+    exploded = texts.select("doc_id", "shingles", "signature", F.posexplode("bands").alias("band", "bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     shared = store.keep(exploded.join(sizes, "bucket"), "near-shared")
     central = shared.groupBy("doc_id").agg(F.sum("texts").alias("central"))
-    return store.keep(shared.join(central, "doc_id").select("bucket", "doc_id", "shingles", "signature", "central"), "near-members")
+    return store.keep(shared.join(central, "doc_id").select("bucket", "band", "doc_id", "shingles", "signature", "central"), "near-members")
 
 
 def _shingles_of(docs: DataFrame, members: DataFrame, store: Store) -> DataFrame:
@@ -187,7 +189,7 @@ def _link(members: DataFrame, grams: DataFrame, store: Store, least: float) -> D
     links = store.keep(_verified(_hub_pairs(members, store, least), grams, least), "near-links-1")
     labels = components(links, store, "near-components-1")
     apart = store.keep(_apart(members, labels, store), "near-apart")
-    pairs = _pairs_apart(apart, store, least)
+    pairs = _pairs_apart(apart, grams, least)
     more = store.keep(_verified(pairs, grams, least), "near-links-2")
     return labels if more.isEmpty() else components(links.union(more), store, "near-components-2")
 
@@ -195,7 +197,7 @@ def _link(members: DataFrame, grams: DataFrame, store: Store, least: float) -> D
 def _apart(members: DataFrame, labels: DataFrame, store: Store) -> DataFrame:
     """Members, with their classes, of buckets that hold two classes or more."""
     current = members.join(labels, members["doc_id"] == labels["node"], "left").select(
-        "bucket", "doc_id", "shingles", "signature", F.coalesce("component", "doc_id").alias("component")
+        "bucket", "band", "doc_id", "shingles", "signature", F.coalesce("component", "doc_id").alias("component")
     )
     current = store.keep(current, "near-current")
     per_class = current.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -206,16 +208,19 @@ def _apart(members: DataFrame, labels: DataFrame, store: Store) -> DataFrame:
     return current.join(split, "bucket")
 
 
-def _pairs_apart(apart: DataFrame, store: Store, least: float) -> DataFrame:
+def _pairs_apart(apart: DataFrame, grams: DataFrame, least: float) -> DataFrame:
     """Pairs of one bucket in different classes whose signatures agree enough, each once.
 
     One of a pair is outside the bucket's largest class: it is the probe, and the other the target.
     Small buckets are joined. In the others, probes and targets are dealt into blocks of bounded size,
-    every block of probes meets every block of targets, and only pairs that agree leave the task.
+    every block of probes meets every block of targets, each pair in the first band it shares alone. Only
+    pairs whose smallest shingle hashes are alike too leave the task; with few shingles that is exact.
     """
     small = F.col("texts") * F.col("others") <= JOINED_PAIRS
     probe = F.col("component") != F.col("largest")
     few, many = apart.filter(small), apart.filter(~small)
+    lowest = grams.select(F.col("id").alias("doc_id"), F.slice("grams", 1, SKETCH_SHINGLES).alias("lowest"))
+    many = many.join(lowest, "doc_id")
     other = few.select(
         "bucket",
         F.col("doc_id").alias("hub"),
@@ -231,27 +236,48 @@ def _pairs_apart(apart: DataFrame, store: Store, least: float) -> DataFrame:
     target_blocks = F.ceil(F.col("texts") / TARGETS).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     dealt = lambda n, seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), n).cast("int")
-    kept = ["bucket", "doc_id", "component", "signature"]
+    kept = ["bucket", "band", "doc_id", "shingles", "component", "signature", "lowest"]
     probes = many.filter(probe).select(*kept, F.lit(True).alias("probe"), dealt(probe_blocks, 1).alias("p"), all_of(target_blocks).alias("t"))
     targets = many.select(*kept, F.lit(False).alias("probe"), dealt(target_blocks, 2).alias("t"), all_of(probe_blocks).alias("p"))
     blocks = probes.unionByName(targets).groupBy("bucket", "p", "t")
-    compared = blocks.applyInArrow(_compare_block, "doc_id long, hub long")
+    compared = blocks.applyInArrow(_block_comparer(least), "doc_id long, hub long")
     return joined.unionByName(compared).distinct()
 
 
-def _compare_block(block: pa.Table) -> pa.Table:
-    """Pairs of a probe and a target of another class that agree in enough components."""
-    ids, classes = block["doc_id"].to_numpy(), block["component"].to_numpy()
-    probe = np.asarray(block["probe"])
-    signatures = _matrix(block["signature"].combine_chunks())
-    targets = np.flatnonzero(~probe)
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for k in np.flatnonzero(probe):
-        near = targets[(signatures[targets] == signatures[k]).sum(axis=1) >= LEAST_AGREEMENT]
-        near = near[classes[near] != classes[k]]
-        left.append(np.minimum(ids[near], ids[k]))
-        right.append(np.maximum(ids[near], ids[k]))
-    return pa.table({"doc_id": np.concatenate(left), "hub": np.concatenate(right)})
+def _block_comparer(least: float):
+    def compare(block: pa.Table) -> pa.Table:
+        """Pairs of a probe and a target of another class that may be similar enough."""
+        ids, classes, sizes = (block[c].to_numpy() for c in ("doc_id", "component", "shingles"))
+        probe, band = np.asarray(block["probe"]), block["band"][0].as_py()
+        signatures = _matrix(block["signature"].combine_chunks())
+        # Lists hold unsigned hashes, smallest first.
+        lowest = block["lowest"].combine_chunks()
+        flat, cut = lowest.flatten().to_numpy().view(np.uint64), lowest.offsets.to_numpy() - lowest.offsets[0].as_py()
+        targets = np.flatnonzero(~probe)
+        pairs = []
+        for k in np.flatnonzero(probe):
+            agree = signatures[targets] == signatures[k]
+            bands = agree.reshape(len(targets), BANDS, ROWS_PER_BAND).all(axis=2)
+            possible = (agree.sum(axis=1) >= LEAST_AGREEMENT) & (bands.argmax(axis=1) == band) & (classes[targets] != classes[k])
+            small, large = np.minimum(sizes[targets], sizes[k]), np.maximum(sizes[targets], sizes[k])
+            own = flat[cut[k] : cut[k + 1]]
+            for other in targets[possible & (small >= least * large)]:
+                if _estimate(own, flat[cut[other] : cut[other + 1]]) >= (least if max(sizes[k], sizes[other]) <= SKETCH_SHINGLES else LEAST_ESTIMATE):
+                    pairs.append((min(ids[k], ids[other]), max(ids[k], ids[other])))
+        found = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.table({"doc_id": found[:, 0], "hub": found[:, 1]})
+
+    return compare
+
+
+def _estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity from the smallest hashes of two sets; exact where the lists are whole sets."""
+    both = np.sort(np.concatenate([a, b]))
+    twice = both[1:] == both[:-1]
+    distinct = np.concatenate([[True], ~twice])
+    within = np.flatnonzero(distinct)[:SKETCH_SHINGLES] if max(len(a), len(b)) >= SKETCH_SHINGLES else np.flatnonzero(distinct)
+    last = within[-1] if len(within) else 0
+    return np.count_nonzero(twice[: last + 1]) / max(len(within), 1)
 
 
 def _agreeing(pairs: DataFrame) -> DataFrame:
