@@ -284,6 +284,7 @@ _PIVOT = (
     + ", ".join(
         f"COALESCE(SUM(CASE WHEN channel = '{c}' THEN gross_revenue END), 0) AS \"{c}\"" for c in _CHANNELS
     )
+    + f", COALESCE(SUM(CASE WHEN channel NOT IN {_CHANNELS} THEN gross_revenue END), 0) AS \"OTHER\""
     + " FROM daily_revenue WHERE channel IS NOT NULL GROUP BY date"
 )
 
@@ -408,6 +409,16 @@ SELECT (SELECT COUNT(*) FROM raw_orders) AS raw_rows, (SELECT COUNT(*) FROM clea
         "SELECT *, CAST(1 AS BIGINT) FROM version_1",
         "SELECT *, CAST(2 AS BIGINT) FROM version_2",
     ),
+    "as_of_after_expire": _union(
+        "SELECT *, CAST(1 AS BIGINT) AS version FROM version_1",
+        "SELECT *, CAST(2 AS BIGINT) FROM version_2",
+    ),
+    "optimize_then_upsert": "SELECT * FROM version_2",
+    "cluster_then_upsert": "SELECT * FROM version_2",
+    "log_exists": "SELECT COUNT(*) AS rows, true AS written, false AS unwritten FROM batch_1",
+    "revenue_by_day": "SELECT * FROM daily_revenue",
+    "serve_missing": "SELECT 'daily_revenue' AS metric, COUNT(*) AS rows FROM daily_revenue UNION ALL SELECT 'inventory_risk', 0",
+    "preview_rows": "SELECT 'preview' AS part, least(COUNT(*), 10) AS rows FROM clean_orders UNION ALL SELECT 'all', COUNT(*) FROM clean_orders",
     "latest_version": "SELECT CAST(MAX(version) AS BIGINT) AS latest_version FROM log",
     "history": """
 SELECT CAST(version AS BIGINT) AS version, committed_at, COUNT(*) AS rows,

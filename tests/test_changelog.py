@@ -1,9 +1,12 @@
 import datetime as dt
+import os
 
 import pytest
 from frames import plan, rows
+from pyspark.sql import functions as F
 
 from tradeflow.operators import changelog as c
+from tradeflow.operators import layout
 
 SCHEMA = "order_id string, product_id string, quantity long, unit_price double"
 
@@ -168,3 +171,51 @@ def test_a_log_keeps_its_keys(spark, folder):
     assert rows(c.read_version(spark, log, 1)) == [("a", "x", 1), ("a", "y", 3)]
     with pytest.raises(ValueError, match="keyed by"):
         c.merge_upsert(spark, two.limit(1), log, ["k"])
+
+
+@pytest.mark.parametrize("zorder_by", [None, ["product_id", "quantity"]])
+def test_upsert_after_optimize_keeps_every_row(spark, folder, zorder_by):
+    log, out = f"{folder}/log", f"{folder}/out"
+    for k in range(3):
+        c.merge_upsert(spark, batch(spark, **{f"o{k}": k}), log, ["order_id"])
+    layout.optimize_table(spark, log, out, zorder_by)
+    assert c.merge_upsert(spark, batch(spark, o9=9, o1=5), out, ["order_id"]) == 3
+    assert state(c.read_version(spark, out, 3)) == dict(o0=0, o1=5, o2=2, o9=9)
+    assert state(c.read_version(spark, out, 1)) == dict(o0=0, o1=1)
+    with pytest.raises(ValueError, match="change log"):
+        layout.compact(spark, log, f"{folder}/flat")
+
+
+def test_versions_below_the_horizon_are_refused_and_history_stays(spark, folder):
+    log, short = f"{folder}/log", f"{folder}/short"
+    old = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+    for q in range(3):
+        c.append(spark, batch(spark, o1=q, o2=1), log, ["order_id"], old)
+    before = rows(c.table_history(spark, log))
+    c.vacuum_table(spark, log, short)
+    assert c.oldest_complete(spark, short) == 2
+    for version in (0, 1, 3):
+        with pytest.raises(ValueError, match="not readable"):
+            c.read_version(spark, short, version)
+    assert state(c.read_version(spark, short, 2)) == dict(o1=2, o2=1)
+    assert rows(c.table_history(spark, short)) == before
+
+
+def test_a_batch_of_another_type_is_refused_before_anything_is_written(spark, folder):
+    log = f"{folder}/log"
+    c.merge_upsert(spark, batch(spark, o1=1), log, ["order_id"])
+    wrong = batch(spark, o1=2).withColumn("quantity", F.col("quantity").cast("double"))
+    with pytest.raises(ValueError, match="another type"):
+        c.merge_upsert(spark, wrong, log, ["order_id"])
+    assert c.versions(spark, log) == [0] and state(c.read_version(spark, log, 0)) == dict(o1=1)
+
+
+def test_what_a_failed_job_left_is_neither_read_nor_numbered(spark, folder):
+    log = f"{folder}/log"
+    c.merge_upsert(spark, batch(spark, o1=1), log, ["order_id"])
+    left = c.read_log(spark, log).drop("_version").withColumn("quantity", F.lit(77).cast("long"))
+    left.write.parquet(f"{log}/_version=1")
+    os.remove(f"{log}/_version=1/_SUCCESS")
+    assert c.latest_version(spark, log) == 0 and c.read_log(spark, log).count() == 1
+    assert c.merge_upsert(spark, batch(spark, o2=2), log, ["order_id"]) == 1
+    assert state(c.read_version(spark, log, 1)) == dict(o1=1, o2=2)

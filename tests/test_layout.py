@@ -1,8 +1,9 @@
 import glob
+import os
 
 import pyarrow.parquet as pq
 import pytest
-from frames import rows
+from frames import plan, rows
 from pyspark.sql import functions as F
 
 from tradeflow.operators import layout
@@ -39,9 +40,20 @@ def test_compact_splits_a_large_file(spark, folder):
     assert max(sizes) <= 100
 
 
-def test_compact_does_not_shuffle_to_merge(spark, scattered, folder):
-    df = spark.read.parquet(scattered)
-    assert "Exchange" not in df.coalesce(2)._jdf.queryExecution().toString()
+def test_compact_does_not_shuffle_to_merge(spark, scattered, folder, monkeypatch):
+    seen = []
+    write = layout._write
+    monkeypatch.setattr(layout, "_write", lambda df, *rest: seen.append(plan(df)) or write(df, *rest))
+    layout.compact(spark, scattered, f"{folder}/out", rows_per_file=10_000)
+    assert "Coalesce" in seen[0] and "Exchange" not in seen[0]
+
+
+def test_files_are_sized_by_bytes(spark, folder):
+    wide = spark.range(2000).select("id", F.concat(*[F.sha2(F.concat("id", F.lit(k)).cast("string"), 512) for k in range(16)]).alias("text"))
+    wide.coalesce(1).write.parquet(f"{folder}/in")
+    layout.compact(spark, f"{folder}/in", f"{folder}/out", bytes_per_file=1 << 20)
+    sizes = [os.path.getsize(f) for f in files(f"{folder}/out")]
+    assert len(sizes) > 1 and max(sizes) < 2 << 20
 
 
 def overlapping(paths, column, value):

@@ -112,3 +112,13 @@ def test_export_writes_one_file_while_small(spark, folder):
 
     assert len(glob.glob(f"{written['t']}/*.parquet")) == 1
     assert rows(spark.read.parquet(written["t"])) == rows(stock)
+
+
+def test_one_decimal_of_large_values(spark, ansi):
+    from tradeflow.functions.display import one_decimal
+
+    values = [0.25, -0.35, 2.0**53, 5e17, -1e18, 2.0**62, 1e19, 1e37]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(one_decimal(F.col("v")))
+    assert [r[0] for r in df.collect()] == [f"{v:.1f}" for v in values[:-2]] + ["10000000000000000000.0", "1" + "0" * 37 + ".0"]
+    huge = spark.createDataFrame([(1e300,)], "v double").select(one_decimal(F.col("v"))).first()[0]
+    assert float(huge) == 1e300

@@ -12,7 +12,9 @@ def one_decimal(value: Column) -> Column:
     ``format_string('%.1f')`` rounds the shortest decimal text half up instead, so it prints
     0.25 as 0.3. Here 20·|x| is held as a sum plus its rounding error, which makes the tie exact.
     """
-    size = F.abs(value)
+    # From 2**53 on a double is a whole number.
+    whole_number = F.abs(value) >= float(2**53)
+    size = F.when(whole_number, 0.0).otherwise(F.abs(value))
     wide, narrow = size * 16, size * 4
     twenty = wide + narrow
     part = twenty - wide
@@ -23,7 +25,10 @@ def one_decimal(value: Column) -> Column:
     digits = tenths.cast("bigint") + up.cast("bigint")
     sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
     whole = F.floor(digits / 10).cast("string")
-    return F.concat(sign, whole, F.lit("."), (digits % 10).cast("string"))
+    small = F.concat(sign, whole, F.lit("."), (digits % 10).cast("string"))
+    long = F.concat(value.try_cast("bigint").cast("string"), F.lit(".0"))
+    wide_text = F.concat(value.try_cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    return F.when(whole_number, F.coalesce(long, wide_text, F.format_string("%.1f", value))).otherwise(small)
 
 
 def signed_percent(ratio: Column) -> Column:

@@ -4,6 +4,11 @@ A log is a folder with one partition per version. Each row is the full image of
 ``_version``, ``_operation`` ('insert' or 'update') and ``_committed_at``. The key columns are marked
 in the stored schema. Commits are made by one writer at a time; commit times never decrease with the
 version.
+
+A version counts when its folder holds the marker that Spark writes last, so what a failed job has left
+is neither read nor numbered, and the next commit replaces it. Which versions there are comes from the
+folder listing. Next to the versions the log keeps one summary row per commit (``_commits``) and, after
+retention, the oldest version that is still complete (``_horizon``); Spark skips both when it reads the log.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ LOG_COLUMNS = (VERSION, OPERATION, COMMITTED_AT)
 KEY_MARK = "tradeflow.key"
 RETENTION_HOURS = 168.0
 HISTORY_ROWS = 20
+MARKER = "_SUCCESS"
+COMMITS, HORIZON = "_commits", "_horizon"
 
 # A batch up to this size is sent to every executor, to read only its own keys from the log.
 BROADCAST_KEYS = 500_000
@@ -111,12 +118,14 @@ def append(
     replaced when the batch is sent again. A batch that changes nothing adds no version.
     """
     size = check_batch(updates, keys)
-    log = _existing(spark, log_path)
-    newest = None if log is None else newest_version(log).first()[0]
+    known = versions(spark, log_path)
+    newest = known[-1] if known else None
     current, stamp = None, F.lit(committed_at or datetime.now(timezone.utc))
     if newest is not None:
+        log = read_log(spark, log_path)
         if sorted(key_columns(log)) != sorted(keys):
             raise ValueError(f"the log is keyed by {key_columns(log)}, not by {list(keys)}")
+        _check_columns(log.drop(*LOG_COLUMNS), updates)
         last = log.filter(F.col(VERSION) == newest).select(COMMITTED_AT).first()[0]
         stamp = F.greatest(stamp, F.lit(last))
         if size.keys_fit_in_memory():
@@ -124,16 +133,38 @@ def append(
         current = as_of(log, keys, newest)
     version = 0 if newest is None else newest + 1
     rows = _mark_keys(changes(current, updates, keys).withColumn(COMMITTED_AT, stamp), keys)
-    rows.write.mode("overwrite").parquet(f"{log_path}/{VERSION}={version}")
-    written = spark.read.schema(rows.schema).parquet(f"{log_path}/{VERSION}={version}")
-    return newest if written.isEmpty() else version
+    path = f"{log_path}/{VERSION}={version}"
+    # Sorted keys let the footers rule out row groups when a later batch looks for its own keys.
+    rows.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    written = spark.read.schema(rows.schema).parquet(path)
+    if written.isEmpty():
+        files, where = tables.folder(spark, path)
+        files.delete(where, True)
+        return newest
+    summary = _summaries(written.withColumn(VERSION, F.lit(version).cast("bigint")))
+    summary.coalesce(1).write.mode("overwrite").parquet(f"{log_path}/{COMMITS}/{version}")
+    return version
 
 
 merge_upsert = append
 
 
+def versions(spark: SparkSession, log_path: str) -> list[int]:
+    """Committed versions, oldest first, from the folder listing."""
+    found = tables.subfolders(spark, log_path, MARKER)
+    return sorted(int(name.split("=")[1]) for name in found if name.startswith(f"{VERSION}="))
+
+
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    return tables.read(spark, log_path).withColumn(VERSION, F.col(VERSION).cast("bigint"))
+    """All rows of committed versions."""
+    log = tables.read(spark, log_path).withColumn(VERSION, F.col(VERSION).cast("bigint"))
+    folders = [n for n in tables.subfolders(spark, log_path) if n.startswith(f"{VERSION}=")]
+    known = versions(spark, log_path)
+    return log if len(folders) == len(known) else log.filter(F.col(VERSION).isin(known))
+
+
+def is_log(spark: SparkSession, path: str) -> bool:
+    return any(n.startswith(f"{VERSION}=") for n in tables.subfolders(spark, path))
 
 
 def key_columns(log: DataFrame) -> list[str]:
@@ -141,7 +172,7 @@ def key_columns(log: DataFrame) -> list[str]:
 
 
 def table_exists(spark: SparkSession, log_path: str) -> bool:
-    return _existing(spark, log_path) is not None
+    return bool(versions(spark, log_path))
 
 
 def as_of(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
@@ -155,33 +186,55 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
 
 
 def read_version(spark: SparkSession, log_path: str, version: int) -> DataFrame:
+    """The table at a version; versions that retention has made incomplete are refused."""
+    known, oldest = versions(spark, log_path), oldest_complete(spark, log_path)
+    if not known or not oldest <= version <= known[-1]:
+        raise ValueError(f"version {version} is not readable; versions {oldest} to {known[-1] if known else None} are")
     log = read_log(spark, log_path)
-    newest = newest_version(log).first()[0]
-    if newest is None or not 0 <= version <= newest:
-        raise ValueError(f"version {version} does not exist; the newest is {newest}")
     return as_of(log, key_columns(log), version)
 
 
+def oldest_complete(spark: SparkSession, log_path: str) -> int:
+    """The oldest version that can be read in full: 0 until retention has removed rows."""
+    horizon = tables.read_if_present(spark, f"{log_path}/{HORIZON}")
+    return 0 if horizon is None else horizon.first()[0]
+
+
 def newest_version(log: DataFrame) -> DataFrame:
     return log.agg(F.max(VERSION).alias("latest_version"))
 
 
 def latest_version(spark: SparkSession, log_path: str) -> int | None:
-    return newest_version(read_log(spark, log_path)).first()[0]
+    known = versions(spark, log_path)
+    return known[-1] if known else None
 
 
-def history(log: DataFrame, limit: int = HISTORY_ROWS) -> DataFrame:
-    """One row per commit, newest first."""
-    commits = log.groupBy(VERSION, COMMITTED_AT).agg(
+def _summaries(log: DataFrame) -> DataFrame:
+    return log.groupBy(VERSION, COMMITTED_AT).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(OPERATION) == "insert").alias("inserted"),
         F.count_if(F.col(OPERATION) == "update").alias("updated"),
     )
-    return commits.orderBy(F.desc(VERSION)).limit(limit)
+
+
+def history(log: DataFrame, limit: int = HISTORY_ROWS) -> DataFrame:
+    """One row per commit, newest first."""
+    return _summaries(log).orderBy(F.desc(VERSION)).limit(limit)
 
 
 def table_history(spark: SparkSession, log_path: str, limit: int = HISTORY_ROWS) -> DataFrame:
-    return history(read_log(spark, log_path), limit)
+    """The newest ``limit`` commits from their summary rows, also those whose rows retention has removed.
+
+    A commit whose summary is missing, because its writer died in between, is counted from its rows.
+    """
+    written = {int(n) for n in tables.subfolders(spark, f"{log_path}/{COMMITS}", MARKER)}
+    newest = sorted(written | set(versions(spark, log_path)), reverse=True)[:limit]
+    paths = [f"{log_path}/{COMMITS}/{n}" for n in newest if n in written]
+    counted = read_log(spark, log_path).filter(F.col(VERSION).isin([n for n in newest if n not in written]))
+    found = _summaries(counted)
+    if paths:
+        found = spark.read.parquet(*paths).unionByName(found) if len(paths) < len(newest) else spark.read.parquet(*paths)
+    return found.orderBy(F.desc(VERSION)).limit(limit)
 
 
 def expire(log: DataFrame, keys: Sequence[str], cutoff: datetime | Column) -> DataFrame:
@@ -203,19 +256,54 @@ def vacuum_table(
     retention_hours: float = RETENTION_HOURS,
 ) -> DataFrame:
     """Write the log without images replaced more than ``retention_hours`` ago to a new path."""
-    cutoff = datetime.now(timezone.utc) - timedelta(hours=retention_hours)
+    return expire_log(spark, log_path, output_path, datetime.now(timezone.utc) - timedelta(hours=retention_hours))
+
+
+def expire_log(spark: SparkSession, log_path: str, output_path: str, cutoff: datetime) -> DataFrame:
+    """``vacuum_table`` with the cutoff itself; the new log knows its history and its oldest complete version."""
     log = read_log(spark, log_path)
     keys = key_columns(log)
-    kept = _mark_keys(expire(log, keys, cutoff), keys)
-    # Ranges keep the files per version few and still split a version that holds most rows.
-    placed = kept.repartitionByRange(F.col(VERSION), key_hash(keys))
-    placed.write.mode("overwrite").partitionBy(VERSION).parquet(output_path)
+    history_rows = table_history(spark, log_path, limit=1 + (latest_version(spark, log_path) or 0))
+    shown = history_rows.filter(F.col(COMMITTED_AT) <= F.lit(cutoff)).agg(F.max(VERSION)).first()[0]
+    horizon = max(oldest_complete(spark, log_path), shown or 0)
+    _rewrite(spark, _mark_keys(expire(log, keys, cutoff), keys), keys, keys, log_path, output_path, horizon)
+    return read_log(spark, output_path)
+
+
+def optimize_log(
+    spark: SparkSession, log_path: str, output_path: str, sort_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Rewrite a log with few files per version, its rows ordered by ``sort_by`` (else the keys).
+
+    The result is a log again: later batches can be merged into it, and every version stays readable.
+    """
+    log = read_log(spark, log_path)
+    keys = key_columns(log)
+    order = list(sort_by or keys)
+    missing = [c for c in order if c not in log.columns]
+    if missing:
+        raise ValueError(f"columns not in the table: {missing}")
+    _rewrite(spark, log, keys, order, log_path, output_path, oldest_complete(spark, log_path))
     return read_log(spark, output_path)
 
 
-def _existing(spark: SparkSession, log_path: str) -> DataFrame | None:
-    log = tables.read_if_present(spark, log_path)
-    return None if log is None else log.withColumn(VERSION, F.col(VERSION).cast("bigint"))
+def _rewrite(
+    spark: SparkSession, log: DataFrame, keys: Sequence[str], order: Sequence[str], source: str, target: str, horizon: int
+) -> None:
+    # Ranges keep the files per version few and still split a version that holds most rows.
+    placed = _mark_keys(log, keys).repartitionByRange(F.col(VERSION), *[F.col(c) for c in order], key_hash(keys))
+    placed = placed.sortWithinPartitions(VERSION, *order)
+    placed.write.mode("overwrite").partitionBy(VERSION).parquet(target)
+    summaries = table_history(spark, source, limit=1 + (latest_version(spark, source) or 0)).collect()
+    for row in summaries:
+        one = spark.createDataFrame([row], table_history(spark, source).schema)
+        one.coalesce(1).write.mode("overwrite").parquet(f"{target}/{COMMITS}/{row[VERSION]}")
+    spark.range(horizon, horizon + 1, 1, 1).write.mode("overwrite").parquet(f"{target}/{HORIZON}")
+    # The marks come last: until then no version of the new log counts.
+    for name in tables.subfolders(spark, target):
+        if name.startswith(f"{VERSION}="):
+            files, where = tables.folder(spark, f"{target}/{name}/{MARKER}")
+            files.create(where, True).close()
 
 
 def _mark_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -227,3 +315,8 @@ def _mark_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _check_columns(current: DataFrame, updates: DataFrame) -> None:
     if sorted(current.columns) != sorted(updates.columns):
         raise ValueError(f"batch columns {updates.columns} differ from table columns {current.columns}")
+    types = {f.name: f.dataType.simpleString() for f in current.schema.fields}
+    other = {f.name: (types[f.name], f.dataType.simpleString()) for f in updates.schema.fields}
+    other = {name: pair for name, pair in other.items() if pair[0] != pair[1]}
+    if other:
+        raise ValueError(f"batch columns of another type than the table's: {other}")

@@ -8,24 +8,25 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeflow.operators import changelog
 from tradeflow.sources import tables
 
-ROWS_PER_FILE = 10_000_000
+BYTES_PER_FILE = 1 << 30
 BITS = 6
 SAMPLE_ROWS = 100_000
 MAX_Z_COLUMNS = 8
 
 
 def compact(
-    spark: SparkSession, path: str, output_path: str, rows_per_file: int = ROWS_PER_FILE
+    spark: SparkSession, path: str, output_path: str, rows_per_file: int | None = None, bytes_per_file: int = BYTES_PER_FILE
 ) -> DataFrame:
-    """Copy the table at ``path`` into files of about ``rows_per_file`` rows.
+    """Copy the table at ``path`` into files of about ``bytes_per_file``, or ``rows_per_file`` where given.
 
     Merging small files joins neighbouring scan splits without a shuffle; only a table in fewer
-    splits than the wanted files is redistributed. The count comes from the Parquet footers.
+    splits than the wanted files is redistributed. Bytes come from the listing, rows from the footers.
     """
-    df = tables.read(spark, path)
-    files = max(1, ceil(df.count() / rows_per_file))
+    df = _plain_table(spark, path)
+    files = _files(spark, path, df, rows_per_file, bytes_per_file)
     # Splits never exceed spark.sql.files.maxPartitionBytes, so merged tasks stay near one file each.
     sized = df.coalesce(files) if df.rdd.getNumPartitions() >= files else df.repartition(files)
     return _write(sized, output_path, rows_per_file)
@@ -36,37 +37,60 @@ def cluster(
     path: str,
     output_path: str,
     columns: Sequence[str],
-    rows_per_file: int = ROWS_PER_FILE,
-    bits: int = BITS,
+    rows_per_file: int | None = None,
+    bits: int | None = None,
+    bytes_per_file: int = BYTES_PER_FILE,
 ) -> DataFrame:
     """Copy the table at ``path`` so that rows near each other in all ``columns`` share files.
 
     Min/max statistics in the Parquet footers then skip files and row groups for filters on any of
     the columns.
     """
-    df = tables.read(spark, path)
+    df = _plain_table(spark, path)
     names = df.columns
     rows = df.count()
-    files = max(1, ceil(rows / rows_per_file))
+    files = _files(spark, path, df, rows_per_file, bytes_per_file)
+    bits = bits or _bits(files, len(columns))
     cuts = cut_points(df, columns, rows, bits)
     # The position within the source file splits a z value, or copies of a row, over several files.
     placed = df.select(
         *names, z_value([bucket(F.col(c), cuts[c]) for c in columns], bits).alias("_z"),
         F.col("_metadata.row_index").alias("_position"),
     )
-    ranged = placed.repartitionByRange(files, "_z", "_position").sortWithinPartitions("_z")
+    # Within a z value the columns themselves decide, so a column's values stay together there too.
+    order = ["_z", *columns, "_position"]
+    ranged = placed.repartitionByRange(files, *order).sortWithinPartitions(*order)
     return _write(ranged.select(*names), output_path, rows_per_file)
 
 
 def optimize_table(
     spark: SparkSession, path: str, output_path: str, zorder_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """``cluster`` when columns are named, else ``compact``."""
+    """``cluster`` when columns are named, else ``compact``; a change log stays a change log."""
+    if changelog.is_log(spark, path):
+        return changelog.optimize_log(spark, path, output_path, zorder_by)
     if zorder_by:
         return cluster(spark, path, output_path, zorder_by)
     return compact(spark, path, output_path)
 
 
+def _plain_table(spark: SparkSession, path: str) -> DataFrame:
+    if changelog.is_log(spark, path):
+        raise ValueError(f"{path} is a change log; optimize_log keeps its versions")
+    return tables.read(spark, path)
+
+
+def _files(spark: SparkSession, path: str, df: DataFrame, rows_per_file: int | None, bytes_per_file: int) -> int:
+    if rows_per_file:
+        return max(1, ceil(df.count() / rows_per_file))
+    return max(1, ceil(tables.stored_bytes(spark, path) / bytes_per_file))
+
+
+def _bits(files: int, columns: int) -> int:
+    """Enough buckets per column for several z values per file, within 62 bits for all columns."""
+    return max(BITS, min(62 // max(columns, 1), 14, ceil((files.bit_length() + 2) / max(columns, 1))))
+
+
 def cut_points(df: DataFrame, columns: Sequence[str], rows: int, bits: int = BITS) -> dict[str, list]:
     """Up to ``2**bits - 1`` values that split each column evenly, from a sample of fixed size.
 
@@ -115,6 +139,6 @@ def z_value(buckets: Sequence[Column], bits: int = BITS) -> Column:
     return z
 
 
-def _write(df: DataFrame, output_path: str, rows_per_file: int) -> DataFrame:
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(output_path)
+def _write(df: DataFrame, output_path: str, rows_per_file: int | None) -> DataFrame:
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file or 0).parquet(output_path)
     return df.sparkSession.read.schema(df.schema).parquet(output_path)

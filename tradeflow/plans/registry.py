@@ -338,6 +338,28 @@ def serve_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.newest_revenue(daily_revenue(spark, sf_dir))
 
 
+def revenue_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.revenue_by_day(daily_revenue(spark, sf_dir))
+
+
+def serve_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a stored metric and of one that is not there yet."""
+    folder = shared_folder(spark)
+    tables.overwrite(daily_revenue(spark, sf_dir), f"{folder}/daily_revenue")
+    counts = [
+        serving.load_metric(spark, folder, name).agg(F.lit(name).alias("metric"), F.count(F.lit(1)).alias("rows"))
+        for name in ("daily_revenue", "inventory_risk")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a preview of the clean orders has, next to all of them; which rows is not fixed."""
+    orders = roundtrip(spark, sf_dir)
+    parts = [serving.preview(orders, 10).agg(F.count(F.lit(1)).alias("rows")), orders.agg(F.count(F.lit(1)).alias("rows"))]
+    return parts[0].withColumn("part", F.lit("preview")).unionByName(parts[1].withColumn("part", F.lit("all")))
+
+
 def serve_inventory_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.risk_by_urgency(inventory_risk(spark, sf_dir))
 
@@ -436,7 +458,9 @@ def as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.newest_version(changelog.read_log(spark, _logged(spark, sf_dir, (0, 1, 2))))
+    log_path = _logged(spark, sf_dir, (0, 1, 2))
+    newest = F.lit(changelog.latest_version(spark, log_path)).cast("bigint")
+    return changelog.read_log(spark, log_path).agg(F.max(F.lit(1))).select(newest.alias("latest_version"))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,6 +480,42 @@ def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_of_after_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version that retention leaves readable, read from the shortened log."""
+    log_path = _logged(spark, sf_dir, (0, 1, 2))
+    changelog.expire_log(spark, log_path, f"{log_path}-short", CUTOFF)
+    oldest = changelog.oldest_complete(spark, f"{log_path}-short")
+    versions = [
+        changelog.read_version(spark, f"{log_path}-short", number).withColumn("version", F.lit(number).cast("bigint"))
+        for number in range(oldest, changelog.latest_version(spark, f"{log_path}-short") + 1)
+    ]
+    return reduce(DataFrame.unionByName, versions)
+
+
+def _optimized_then_upserted(zorder_by: list[str] | None) -> Query:
+    """Two commits, a rewrite of the log, a third commit into the rewritten log, its newest state."""
+
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        log_path = _logged(spark, sf_dir, (0, 1))
+        layout.optimize_table(spark, log_path, f"{log_path}-new", zorder_by)
+        orders = tables.read(spark, f"{log_path.rsplit('/', 1)[0]}/orders")
+        changelog.append(spark, _batches(orders)[2], f"{log_path}-new", ["order_id"], COMMITS[2])
+        return changelog.read_version(spark, f"{log_path}-new", 2)
+
+    return run_query
+
+
+def log_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the log exists, counted over its rows, and whether one that was never written does."""
+    log_path = _logged(spark, sf_dir, (0,))
+    rows = changelog.read_log(spark, log_path).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(
+        "rows",
+        F.lit(changelog.table_exists(spark, log_path)).alias("written"),
+        F.lit(changelog.table_exists(spark, f"{log_path}-none")).alias("unwritten"),
+    )
+
+
 # Table layout.
 
 
@@ -533,6 +593,13 @@ QUERIES: dict[str, Query] = {
         "upsert": upsert,
         "upsert_replay": upsert_replay,
         "as_of": as_of,
+        "as_of_after_expire": as_of_after_expire,
+        "optimize_then_upsert": _optimized_then_upserted(None),
+        "cluster_then_upsert": _optimized_then_upserted(["product_id", "quantity"]),
+        "log_exists": log_exists,
+        "revenue_by_day": revenue_by_day,
+        "serve_missing": serve_missing,
+        "preview_rows": preview_rows,
         "latest_version": latest_version,
         "history": history,
         "expire": expire,

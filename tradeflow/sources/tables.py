@@ -11,6 +11,28 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder in any store Spark can reach."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Length of all files of a table, from the listing alone."""
+    files, where = folder(spark, path)
+    return files.getContentSummary(where).getLength()
+
+
+def subfolders(spark: SparkSession, path: str, needed: str | None = None) -> list[str]:
+    """Names of the folders below ``path``; with ``needed`` only those that hold such a file."""
+    files, where = folder(spark, path)
+    if not files.exists(where):
+        return []
+    found = [status.getPath() for status in files.listStatus(where) if status.isDirectory()]
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    return [f.getName() for f in found if needed is None or files.exists(new_path(f, needed))]
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None while it has not been written yet."""
     try:
