@@ -16,7 +16,7 @@ MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x5851F42D4C957F2D
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

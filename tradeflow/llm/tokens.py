@@ -18,7 +18,7 @@ from tradeflow.llm import text_arrays as ta
 
 TOKENIZER = "byte_bpe_50k.json"
 BATCH_BYTES = 1 << 20
-REMEMBERED = 2_000_000
+REMEMBERED = 500_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
