@@ -86,7 +86,11 @@ def pack_documents(docs: DataFrame, store: Store, capacity: int = CAPACITY, toke
 
 
 def plan(counts: Sequence[int], capacity: int = CAPACITY) -> list[Pattern]:
-    """Sequences as (lengths, how many such sequences) for ``counts[length]`` pieces of each length."""
+    """Sequences as (lengths, how many such sequences) for ``counts[length]`` pieces of each length.
+
+    Full pieces first, then exact fillings by one, by two and by three others, each for all lengths from
+    the longest down; what is left goes best-fit.
+    """
     left = list(counts)
     patterns: list[Pattern] = []
 
@@ -98,26 +102,25 @@ def plan(counts: Sequence[int], capacity: int = CAPACITY) -> list[Pattern]:
                 left[size] -= times
 
     consume((capacity,))
-    present = np.array(left) > 0
-    for size in range(capacity - 1, 0, -1):
+    sizes = range(capacity - 1, 0, -1)
+    for size in sizes:
+        consume((size, capacity - size))
+    for size in (s for s in sizes if left[s]):
+        for first in _pair_starts(np.array(left) > 0, capacity - size):
+            consume((size, first, capacity - size - first))
+            if not left[size]:
+                break
+    for size in (s for s in sizes if left[s]):
         gap = capacity - size
-        if left[size]:
-            consume((size, gap))
-        if left[size]:
-            present = np.array(left) > 0
-            for first in _pair_starts(present, gap):
-                consume((size, first, gap - first))
-                if not left[size]:
-                    break
-        if left[size]:
-            for first in range(gap - 2, 0, -1):
-                if left[first] and left[size]:
-                    present = np.array(left) > 0
-                    for second in _pair_starts(present, gap - first):
-                        if second <= first:
-                            consume((size, first, second, gap - first - second))
-                        if not left[size] or not left[first]:
-                            break
+        for first in range(min(size, gap - 2), 0, -1):
+            if not left[size]:
+                break
+            if left[first]:
+                for second in _pair_starts(np.array(left) > 0, gap - first):
+                    if second <= first:
+                        consume((size, first, second, gap - first - second))
+                    if not left[size] or not left[first]:
+                        break
     return patterns + _best_fit(left, capacity)
 
 
