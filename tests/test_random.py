@@ -60,12 +60,11 @@ def model(table):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("min_rows", [20, 10**9], ids=["hot", "usual"])
-def test_labels(spark, seed, min_rows):
+def test_labels(spark, seed):
     rng = random.Random(seed)
     table = [random_order(rng) for _ in range(400)]
     frame = raw(spark, ORDER, *table).repartition(5)
-    labelled = v.label(frame, v.ORDERS, min_rows=min_rows)
+    labelled = v.label(frame, v.ORDERS)
     expected = model(table)
     assert Counter(tuple(r) for r in labelled.select(*COLUMNS, REASON).collect()) == expected
     kept = Counter(tuple(r) for r in v.clean(frame, v.ORDERS).select("order_id", "product_id", "channel").collect())

@@ -1,10 +1,12 @@
 """One key, or one group of equal copies, holding a third of all rows."""
 
+import re
+
 import pytest
 from frames import ORDER, plan, raw, rows
 from pyspark.sql import functions as F
 
-from tradeflow.operators.latest import hot_keys, latest_per_key, mark_superseded
+from tradeflow.operators.latest import latest_per_key, mark_superseded
 from tradeflow.plans import validation as v
 from tradeflow.sources.schemas import REASON
 
@@ -21,29 +23,21 @@ def skewed(spark):
     return numbers.select(order_id.alias("order_id"), quantity.alias("quantity"), *columns)
 
 
-def test_sketch_finds_the_hot_key_only(spark, skewed):
-    expected = spark.sql("SELECT xxhash64('hot')").first()[0]
-    assert hot_keys(skewed, ["order_id"], min_rows=900) == [expected]
-    assert hot_keys(skewed, ["order_id"]) == []
-
-
 def test_no_keys_at_all(spark):
-    keyless = spark.range(100).select(F.lit(None).cast("string").alias("k"))
-    assert hot_keys(keyless, ["k"], min_rows=10) == []
-    assert hot_keys(keyless.limit(0), ["k"], min_rows=0) == []
+    keyless = spark.range(100).select("id", F.lit(None).cast("string").alias("k"))
+    for table in (keyless, keyless.limit(0)):
+        marked = mark_superseded(table, ["k"], [F.desc("id")], F.col("k").isNotNull(), "old")
+        assert marked.filter("old").count() == 0 and marked.count() == table.count()
 
 
 def test_several_key_columns(spark):
     pairs = spark.range(100).selectExpr("'a' AS k", "id % 2 AS l", "id AS n")
-    hot = hot_keys(pairs, ["k", "l"], min_rows=40)
-    assert len(hot) == 2
-    marked = mark_superseded(pairs, ["k", "l"], [F.desc("n")], F.lit(True), "old", hot)
+    marked = mark_superseded(pairs, ["k", "l"], [F.desc("n")], F.lit(True), "old")
     assert rows(marked.filter("NOT old"), "l", "n") == [(0, 98), (1, 99)]
 
 
-@pytest.mark.parametrize("min_rows", [900, 10**9])
-def test_labelling_agrees_with_brute_force(spark, skewed, min_rows):
-    labelled = v.label(skewed, v.ORDERS, min_rows=min_rows)
+def test_labelling_agrees_with_brute_force(spark, skewed):
+    labelled = v.label(skewed, v.ORDERS)
     counts = {r[REASON]: r["n"] for r in labelled.groupBy(REASON).agg(F.count("*").alias("n")).collect()}
     assert counts == {None: 1501, "MISSING_ORDER_ID": 500, "DUPLICATE_ORDER": 999}
     everything = ["order_id", "quantity", "ordered_at"]
@@ -54,11 +48,17 @@ def test_labelling_agrees_with_brute_force(spark, skewed, min_rows):
 
 
 def test_no_window_group_holds_the_hot_rows(spark, skewed):
-    """With hot keys known, a group of the first window is at most one source partition of a key."""
-    hot = hot_keys(skewed, ["order_id"], min_rows=900)
-    marked = mark_superseded(skewed, ["order_id"], [F.desc("quantity")], F.lit(True), "old", hot)
-    text = plan(marked)
-    assert "SPARK_PARTITION_ID" in text and text.count("Window [row_number()") >= 3
+    """Every window is also partitioned by the source partition, directly or but for the best rows."""
+    marked = mark_superseded(skewed, ["order_id"], [F.desc("quantity")], F.lit(True), "old")
+    windows = re.findall(r"Window \[row_number\(\) windowspecdefinition\(([^]]*)", plan(marked))
+    assert windows and all("_slot" in w or "_stage" in w for w in windows)
+
+
+def test_marking_reads_its_input_once(spark, skewed, folder):
+    skewed.write.parquet(f"{folder}/in")
+    bad = v.quarantined(spark.read.parquet(f"{folder}/in"), v.ORDERS)
+    physical = plan(bad).split("== Physical Plan ==")[1]
+    assert physical.count("FileScan") == 1 and "Join" not in physical
 
 
 def test_latest_per_key_is_cut_before_the_shuffle(spark, skewed):

@@ -143,12 +143,9 @@ TIES = [
 ]
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_ties_resolve_by_content_and_copies_stay_whole(spark, hot):
+def test_ties_resolve_by_content_and_copies_stay_whole(spark):
     frame = raw(spark, ORDER, *TIES, dict(order_id=None), dict(order_id="o2")).repartition(3)
-    options = dict(min_rows=3) if hot else {}
-    labelled = v.label(frame, v.ORDERS, **options)
-    assert ("Union" in plan(labelled)) == hot
+    labelled = v.label(frame, v.ORDERS)
     good, bad = v.select_clean(labelled, v.ORDERS), v.select_quarantined(labelled, v.ORDERS)
     assert rows(good) == rows(v.clean(frame, v.ORDERS))
     assert rows(good, "order_id", "product_id", "channel", "quantity") == [("o1", "b", "x", 2), ("o2", "p1", "web", 2)]
@@ -174,7 +171,7 @@ def test_process_other_feeds(spark, folder):
     assert [df.count() for df in (*stock, *price)] == [1, 1, 2, 1]
 
 
-def test_the_kept_labels_are_coalesced_at_runtime(spark, folder):
+def test_written_tables_are_coalesced_at_runtime(spark, folder):
     raw(spark, ORDER, *TIES).write.parquet(f"{folder}/raw")
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "50")

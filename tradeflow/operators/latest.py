@@ -7,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 20_000
-MAX_TRACKED_KEYS = 200_000
-SKETCH_GROUPS = 256
-
-
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], hashed: bool = False
 ) -> DataFrame:
@@ -33,83 +27,23 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(key) for key in keys])
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    min_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> list[int]:
-    """Hashes of the keys with at least ``min_rows`` rows, by one pass over the key columns only.
-
-    A frequent-items sketch replaces a count per key, so that no key is shuffled; the sketches are
-    merged in ``SKETCH_GROUPS`` tasks before the last one. At most ``max_keys`` numbers reach the
-    driver, so only keys below one row in ``max_keys`` can be left out. The list only steers how
-    rows are spread over tasks: a key missing from it, or one too many, changes no result. A stored
-    table of fewer than ``min_rows`` rows is recognized from its footers.
-    """
-    rows = df.count()
-    if rows < min_rows:
-        return []
-    tracked = min(MAX_TRACKED_KEYS, max(max_keys, 4 * rows // max(min_rows, 1)))
-    sketches = (
-        df.dropna("all", subset=list(keys))
-        .select(key_hash(keys).alias("_key"), F.spark_partition_id().alias("_part"))
-        .groupBy((F.col("_part") % SKETCH_GROUPS).alias("_group"))
-        .agg(F.expr(f"approx_top_k_accumulate(_key, {tracked})").alias("_sketch"))
-    )
-    top = (
-        # Grouped, because the merge fails on no sketches at all, as when every key is NULL.
-        sketches.groupBy(F.lit("all"))
-        .agg(F.expr("approx_top_k_combine(_sketch)").alias("_sketch"))
-        .select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {max_keys})")).alias("_top"))
-        .filter(F.col("_top.count") >= min_rows)
-    )
-    return [row[0] for row in top.select("_top.item").collect()]
-
-
 def mark_superseded(
-    df: DataFrame,
-    keys: Sequence[str],
-    newest_first: Sequence[Column],
-    eligible: Column,
-    flag: str,
-    hot: Sequence[int] = (),
+    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], eligible: Column, flag: str
 ) -> DataFrame:
     """Add ``flag``: true for an eligible row when another eligible row of its key ranks first.
 
-    All rows pass one shuffle. Rows that do not take part carry their source partition as a second
-    partition key, so rows with NULL keys never meet in one task. Keys named in ``hot`` take a
-    separate path: first the best row per key and source partition, then the best of those.
+    One plan for every size: the first window ranks a key's rows within each source partition, the second
+    ranks the best of those and leaves all other rows where they are. A group is thus never more than a
+    key's share of one source partition, or one row per source partition. Rows that do not take part are
+    grouped by their source partition too, so rows with NULL keys never meet in one task.
     """
-    in_play = df.withColumns({"_in_play": eligible, "_hash": key_hash(keys)})
-    if hot:
-        listed = F.broadcast(df.sparkSession.createDataFrame([(key,) for key in hot], "_hot bigint"))
-        # Rows that do not take part have no match, so they stay with the usual ones.
-        is_hot = F.when(F.col("_in_play"), F.col("_hash")) == F.col("_hot")
-        usual = _mark(in_play.join(listed, is_hot, "left_anti"), keys, newest_first, flag)
-        frequent = in_play.join(listed, is_hot, "left_semi")
-        marked = usual.unionByName(_mark_in_two_steps(frequent, keys, newest_first, flag))
-    else:
-        marked = _mark(in_play, keys, newest_first, flag)
-    return marked.drop("_in_play", "_hash")
-
-
-def _mark(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], flag: str) -> DataFrame:
-    slot = F.when(F.col("_in_play"), F.lit(-1)).otherwise(F.spark_partition_id())
-    rank = F.row_number().over(Window.partitionBy("_hash", *keys, "_slot").orderBy(*newest_first))
-    return df.withColumn("_slot", slot).withColumn(flag, (rank > 1) & F.col("_in_play")).drop("_slot")
-
-
-def _mark_in_two_steps(
-    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], flag: str
-) -> DataFrame:
-    within = Window.partitionBy("_hash", *keys, "_slot").orderBy(*newest_first)
-    across = Window.partitionBy("_hash", *keys, "_stage").orderBy(*newest_first)
+    within = Window.partitionBy("_hash", *keys, "_in_play", "_slot").orderBy(*newest_first)
+    across = Window.partitionBy("_hash", *keys, "_in_play", "_stage").orderBy(*newest_first)
+    best = F.col("_in_play") & (F.col("_rank") == 1)
     return (
-        df.withColumn("_slot", F.spark_partition_id())
+        df.withColumns({"_in_play": eligible, "_hash": key_hash(keys), "_slot": F.spark_partition_id()})
         .withColumn("_rank", F.row_number().over(within))
-        # The best rows of all source partitions share stage -1; the others stay where they are.
-        .withColumn("_stage", F.when(F.col("_rank") == 1, F.lit(-1)).otherwise(F.col("_slot")))
-        .withColumn(flag, (F.col("_rank") > 1) | (F.row_number().over(across) > 1))
-        .drop("_slot", "_rank", "_stage")
+        .withColumn("_stage", F.when(best, F.lit(-1)).otherwise(F.col("_slot")))
+        .withColumn(flag, F.col("_in_play") & ((F.col("_rank") > 1) | (F.row_number().over(across) > 1)))
+        .drop("_in_play", "_hash", "_slot", "_rank", "_stage")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tradeflow.operators import changelog, layout, quality
-from tradeflow.operators.latest import hot_keys, mark_superseded
+from tradeflow.operators.latest import mark_superseded
 from tradeflow.plans import metrics, run, serving
 from tradeflow.plans import validation as v
 from tradeflow.plans.acceptance import acceptance_report
@@ -60,7 +60,7 @@ def clean_price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.label(raw_orders(spark, sf_dir), v.ORDERS, feeds.order_ids(spark, sf_dir))
+    return v.label(raw_orders(spark, sf_dir), v.ORDERS)
 
 
 def quarantine_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,9 +257,8 @@ def label_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row that passes the rules, and whether a later copy replaces it."""
     valid = v.label_rows(raw_orders(spark, sf_dir), v.ORDERS).filter(F.col(REASON).isNull())
-    hot = hot_keys(feeds.order_ids(spark, sf_dir), v.ORDERS.unique_key)
     marked = mark_superseded(
-        valid, v.ORDERS.unique_key, v.ORDERS.newest_first(), F.lit(True), "superseded", hot
+        valid, v.ORDERS.unique_key, v.ORDERS.newest_first(), F.lit(True), "superseded"
     )
     return marked.select(*v.ORDERS.columns, "superseded")
 

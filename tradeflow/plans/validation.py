@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.functions.typed import is_missing, is_not_positive, is_not_price, to_double, to_instant, to_long
-from tradeflow.operators.latest import hot_keys, latest_per_key, mark_superseded
+from tradeflow.operators.latest import latest_per_key, mark_superseded
 from tradeflow.operators.rules import Rule, label_first
-from tradeflow.session import adaptive_cache
 from tradeflow.sources import tables
 from tradeflow.sources.schemas import DUPLICATE, PROVENANCE, REASON
 
@@ -87,17 +85,13 @@ def label_rows(raw: DataFrame, feed: Feed) -> DataFrame:
     return label_first(typed, feed.rules, REASON, feed.typed)
 
 
-def label(raw: DataFrame, feed: Feed, key_probe: DataFrame | None = None, **hot_options: int) -> DataFrame:
-    """``label_rows``, with replaced copies of a key labelled as duplicates.
-
-    ``key_probe`` may name a cheaper frame with the same key column to look for frequent keys in.
-    """
+def label(raw: DataFrame, feed: Feed) -> DataFrame:
+    """``label_rows``, with replaced copies of a key labelled as duplicates."""
     labelled = label_rows(raw, feed)
     if not feed.unique_key:
         return labelled
-    hot = hot_keys(raw if key_probe is None else key_probe, feed.unique_key, **hot_options)
     marked = mark_superseded(
-        labelled, feed.unique_key, feed.newest_first(), F.col(REASON).isNull(), "_superseded", hot
+        labelled, feed.unique_key, feed.newest_first(), F.col(REASON).isNull(), "_superseded"
     )
     reason = F.when(F.col("_superseded"), F.lit(DUPLICATE)).otherwise(F.col(REASON))
     return marked.withColumn(REASON, reason).drop("_superseded")
@@ -130,8 +124,8 @@ def clean(raw: DataFrame, feed: Feed) -> DataFrame:
     return select_clean(labelled, feed)
 
 
-def quarantined(raw: DataFrame, feed: Feed, key_probe: DataFrame | None = None) -> DataFrame:
-    return select_quarantined(label(raw, feed, key_probe), feed)
+def quarantined(raw: DataFrame, feed: Feed) -> DataFrame:
+    return select_quarantined(label(raw, feed), feed)
 
 
 def validate(raw: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
@@ -143,20 +137,14 @@ def process(
 ) -> tuple[DataFrame, DataFrame]:
     """Write both tables from the raw one and return what is stored.
 
-    Rows that need a shuffle are labelled once and kept for both writes; without one, reading the
-    raw table twice costs less than keeping it.
+    The raw table is read once for each: clean rows are cut to one per key before their shuffle, so keeping
+    the labelled feed for both would cost a copy of it and save one scan.
     """
-    labelled = label(tables.read(spark, raw_path), feed)
-    if feed.unique_key:
-        with adaptive_cache(spark):
-            labelled.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return (
-            tables.overwrite(select_clean(labelled, feed), clean_path),
-            tables.overwrite(select_quarantined(labelled, feed), quarantine_path),
-        )
-    finally:
-        labelled.unpersist()
+    raw = tables.read(spark, raw_path)
+    return (
+        tables.overwrite(clean(raw, feed), clean_path),
+        tables.overwrite(quarantined(raw, feed), quarantine_path),
+    )
 
 
 def validate_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,8 +6,6 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,23 +27,15 @@ def build_session(app_name: str = "tradeflow", master: str | None = None, **conf
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: every day boundary in the metrics is a UTC day."""
+    """Pin the session zone: every day boundary in the metrics is a UTC day.
+
+    The setting stays. Registered queries call this on the caller's session, as Spark takes the zone of
+    some conversions when a frame is built and of others when it is collected.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
-@contextmanager
-def adaptive_cache(spark: SparkSession) -> Iterator[None]:
-    """Let frames persisted inside be re-planned at runtime; else they keep every shuffle partition."""
-    setting = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """A new, unused folder below ``spark.checkpoint.dir`` that all executors can reach.
 

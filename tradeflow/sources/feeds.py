@@ -67,11 +67,6 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of ``raw_orders`` without its joins, enough to look for frequent ids."""
-    return tables.read(spark, f"{sf_dir}/lineitem.parquet").select(_order_id().alias("order_id"))
-
-
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock snapshots as text; suppliers that do not stock a part report none of it."""
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
