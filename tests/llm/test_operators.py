@@ -71,6 +71,18 @@ def test_mix(docs, rows, empty, checkpoint_store):
     mixed = mixed_documents(docs, checkpoint_store)
     assert mixed.columns == docs.columns
     assert {r["_copy"] for r in mixed.select("_copy").distinct().collect()} == {"c"}
+    assert mixed_documents(empty, checkpoint_store).count() == 0
+
+
+@pytest.mark.parametrize("percent", [60, 150, 200])
+def test_mixed_documents_are_the_copies_of_the_mix(spark, checkpoint_store, percent):
+    """Unique ids, several sources, and documents without words."""
+    texts = [" ".join(["w"] * (n % 7)) if n % 11 else None for n in range(300)]
+    table = [(n, texts[n], None if n % 5 == 0 else f"s{n % 3}") for n in range(300)]
+    docs = spark.createDataFrame([(None, "a b", "s1"), *table], "doc_id long, text string, source string")
+    planned = {(r.doc_id, r.source): r.copies for r in mix_sources(docs, checkpoint_store, budget_percent=percent).collect() if r.copies}
+    mixed = Counter((r.doc_id, r.source) for r in mixed_documents(docs, checkpoint_store, budget_percent=percent).collect())
+    assert mixed == planned
 
 
 def test_near_duplicates(docs, rows, empty, checkpoint_store):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm.ordered import RANGE, hash60, place_in_ranges, running_totals
@@ -38,6 +38,13 @@ def mix_sources(
     0, is taken 0 times and does not change the mix. Equal rows are documents of their own. With no
     words at all every target is 0. Columns other than doc_id, text and source are not read.
     """
+    return _copies(*_line_up(docs, store, weights, budget_percent, epochs, seed), epochs)
+
+
+def _line_up(
+    docs: DataFrame, store: Store, weights: Sequence[int], budget_percent: int, epochs: int, seed: str
+) -> tuple[DataFrame, int]:
+    """Every copy of every row with the words of all copies before it, and the budget."""
     if any(w <= 0 for w in weights) or not 0 < budget_percent <= 100 * epochs:
         raise ValueError("weights must be positive and the budget at most all epochs")
     spark = docs.sparkSession
@@ -46,7 +53,7 @@ def mix_sources(
             "doc_id",
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            hash60(F.concat(F.lit(seed), F.col("doc_id").cast("string"))).alias("_turn"),
+            _turn(F.col("doc_id"), seed).alias("_turn"),
         ),
         "mix-sizes",
     )
@@ -64,8 +71,19 @@ def mix_sources(
         .withColumn("_finish", (F.col("_epoch") * F.col("source_size") + F.col("_ahead")) / F.col("_weight"))
     )
     turn = [F.col("_finish"), *queue, F.col("_epoch")]
-    lined_up = running_totals(place_in_ranges(copies, turn, store, "mix-copies"), turn, ["size"])
-    copies_taken = F.count_if(F.col("size_before") + F.col("size") <= budget)
+    return running_totals(place_in_ranges(copies, turn, store, "mix-copies"), turn, ["size"]), budget
+
+
+def _turn(doc_id: Column, seed: str) -> Column:
+    return hash60(F.concat(F.lit(seed), doc_id.cast("string")))
+
+
+def _fits(budget: int) -> Column:
+    return F.col("size_before") + F.col("size") <= budget
+
+
+def _copies(lined_up: DataFrame, budget: int, epochs: int) -> DataFrame:
+    copies_taken = F.count_if(_fits(budget))
     # A row's identity is its place in the queue: equal rows stay apart by counting.
     return (
         lined_up.groupBy("doc_id", "source", "size", "source_size", "target")
@@ -105,16 +123,40 @@ def _targets(
     return weighed.select("_source", "source_size", "_rank", "_words_before", "_weight", target.alias("target")), budget, found
 
 
-def mixed_documents(docs: DataFrame, store: Store, **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    store: Store,
+    weights: Sequence[int] = WEIGHTS,
+    budget_percent: int = BUDGET_PERCENT,
+    epochs: int = EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with the columns of ``docs``.
 
-    Rows that share a doc_id are taken equally often.
+    What the budget takes of a source is the head of its queue, so the last copy taken, one mark per source,
+    says of every document with words how often it is in the mix; texts are not shuffled. Documents
+    without words share places in the queue and are joined with their own copies. Rows that share doc_id
+    and source are taken equally often.
     """
-    plan = store.keep(mix_sources(docs, store, **options).filter("copies > 0"), "mix-plan")
-    per_document = plan.groupBy(F.col("doc_id").alias("_mixed")).agg(F.max("copies").alias("_copies"))
-    copy = free_name(docs, "_copy")
-    return (
-        docs.join(per_document, docs["doc_id"].eqNullSafe(per_document["_mixed"]))
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), per_document["_copies"])))
-        .select(*[docs[c] for c in docs.columns])
-    )
+    lined_up, budget = _line_up(docs, store, weights, budget_percent, epochs, seed)
+    last = F.max(F.struct("_epoch", "_turn", "doc_id")).alias("_last")
+    marks = lined_up.filter(_fits(budget) & (F.col("size") > 0)).groupBy(F.col("source").alias("_marked")).agg(last)
+    marks = store.keep(marks, "mix-marks")
+    has_word = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    worded, wordless = docs.filter(has_word), docs.filter(~has_word)
+
+    place = F.struct(_turn(worded["doc_id"], seed), worded["doc_id"])
+    again = F.when(place <= F.struct(marks["_last"]["_turn"], marks["_last"]["doc_id"]), 1).otherwise(0)
+    by_mark = worded.join(marks, worded["source"].eqNullSafe(marks["_marked"]))
+    mixed = _repeated(by_mark, worded, marks["_last"]["_epoch"] + again)
+
+    plan = store.keep(_copies(lined_up.filter("size = 0"), budget, epochs).filter("copies > 0"), "mix-wordless")
+    own = plan.groupBy(F.col("doc_id").alias("_mixed"), F.col("source").alias("_marked")).agg(F.max("copies").alias("_copies"))
+    same = wordless["doc_id"].eqNullSafe(own["_mixed"]) & wordless["source"].eqNullSafe(own["_marked"])
+    return mixed.unionByName(_repeated(wordless.join(own, same), wordless, own["_copies"]))
+
+
+def _repeated(joined: DataFrame, docs: DataFrame, copies: Column) -> DataFrame:
+    """The columns of ``docs``, each row ``copies`` times."""
+    times = F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias(free_name(docs, "_copy"))
+    return joined.select(*[docs[c] for c in docs.columns], times).select(*docs.columns)
