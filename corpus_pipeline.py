@@ -11,7 +11,7 @@ from tradeflow.llm.language import learn_dictionaries, with_language
 from tradeflow.llm.mixing import mixed_documents
 from tradeflow.llm.near_duplicates import distinct_documents
 from tradeflow.llm.packing import pack_documents
-from tradeflow.llm.quality import ratio_table, with_quality
+from tradeflow.llm.quality import gram_model, with_quality
 from tradeflow.llm.storage import Store, documents, free_name
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,7 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that pass the quality rules; the corpus model counts ``docs``."""
     name = free_name(docs, "_quality")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = with_quality(docs, ratio_table(docs, labels), output=name)
+    judged = with_quality(docs, labels, gram_model(docs, labels), output=name)
     return judged.filter(F.col(name)["kept"]).select(*docs.columns)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log2
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -10,85 +12,134 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import text_arrays as ta
+from tradeflow.llm.storage import free_name
 
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
-BUCKETS = 1 << 14
-SMOOTHING = 1.0
+#: Buckets of hashed grams follow the bytes of text, which bound the number of different grams, between these powers of two.
+FEWEST_BITS, MOST_BITS = 14, 14
+BYTES_PER_BUCKET = 4
+SLICE = 1 << 14
+#: A gram counts as found this often among trusted documents and as often expected there, besides what was counted.
+PRIOR = 32.0
 LEAST_RATIO = -0.05
-TRUSTED_DOCUMENTS = 20_000
+#: Ids of trusted documents are broadcast up to this number; beyond it the marks are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double"
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_DOCUMENTS) -> np.ndarray:
-    """doc_ids of at most about ``most`` documents labelled good, chosen by a hash of the id.
+class GramModel(NamedTuple):
+    """Counts per bucket of hashed words and word pairs, in all documents and in the trusted ones, and their sums."""
 
-    The ids are the only thing of a label that reaches the driver, and their number is bounded.
-    """
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rate = most / max(good.count(), 1)
-    coin = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
-    return np.array(sorted(r[0] for r in good.filter(coin < rate).collect()), np.int64)
+    corpus: np.ndarray
+    trusted: np.ndarray
+    corpus_grams: float
+    trusted_grams: float
+
+    @property
+    def bits(self) -> int:
+        return len(self.corpus).bit_length() - 1
+
+
+class PackedModel(NamedTuple):
+    """A ``GramModel`` as compressed slices, as the driver holds it and tasks receive it."""
+
+    bits: int
+    slices: list[tuple[int, bytes]]
+    corpus_grams: float
+    trusted_grams: float
+
+    def unpacked(self) -> GramModel:
+        counts = np.zeros((2, 1 << self.bits), np.float32)
+        for k, packed in self.slices:
+            part = pa.decompress(packed, 8 * SLICE, "zstd")
+            counts[:, k * SLICE : (k + 1) * SLICE] = np.frombuffer(part, np.float32).reshape(2, -1)
+        return GramModel(counts[0], counts[1], self.corpus_grams, self.trusted_grams)
+
+
+def with_trust(docs: DataFrame, labels: DataFrame, output: str) -> DataFrame:
+    """``docs`` with a boolean: the document is labelled good."""
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_good")).distinct()
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
+    marked = docs.join(good, docs["doc_id"].cast("long") == F.col("_good"), "left")
+    return marked.select(*[docs[c] for c in docs.columns], F.col("_good").isNotNull().alias(output))
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return min(max(ceil(log2(max(size / BYTES_PER_BUCKET, 1))), FEWEST_BITS), MOST_BITS)
 
 
-def ratio_table(docs: DataFrame, labels: DataFrame, most: int = TRUSTED_DOCUMENTS) -> np.ndarray:
-    """log p(bucket | trusted) - log p(bucket | corpus) per bucket of hashed words and word pairs.
+def gram_model(docs: DataFrame, labels: DataFrame, bits: int | None = None) -> PackedModel:
+    """Counts of every word and word pair of all documents, and of all documents labelled good.
 
-    The corpus model counts every document. Each task sends its counts per bucket, and ``BUCKETS`` sums
-    reach the driver. Without trusted documents all ratios are 0.
+    Each task sends its counts as compressed slices of the buckets; what reaches the driver is their sums,
+    at most 8 bytes a bucket.
     """
-    ids = trusted_ids(labels, most)
+    bits = bucket_bits(docs) if bits is None else bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, BUCKETS), np.int64)
+        sums = np.zeros((2, 1 << bits), np.uint32)
         for batch in batches:
-            column, doc_ids = ta.as_large(batch.column(1)), batch.column(0)
-            known = np.isin(doc_ids.fill_null(0).to_numpy(), ids) & np.asarray(doc_ids.is_valid())
+            column, known = ta.as_large(batch.column(0)), np.asarray(batch.column(1))
             for start, end in ta.blocks(column):
-                row, bucket = _buckets(ta.Words(column.slice(start, end - start)))
-                sums[0] += np.bincount(bucket, minlength=BUCKETS)
-                sums[1] += np.bincount(bucket[known[start:end][row]], minlength=BUCKETS)
-        used = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(sums[0, used]), pa.array(sums[1, used])], ["bucket", "corpus", "trusted"]
-        )
-
-    counts = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(count, "bucket int, corpus long, trusted long")
-        .groupBy("bucket")
-        .agg(F.sum("corpus"), F.sum("trusted"))
-        .collect()
-    )
-    sums = np.zeros((2, BUCKETS))
-    for bucket, corpus, trusted in counts:
-        sums[:, bucket] = corpus, trusted
-    if not sums[1].any():
-        return np.zeros(BUCKETS)
-    share = (sums + SMOOTHING) / (sums.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
-    return np.log(share[1]) - np.log(share[0])
-
-
-def _buckets(words: ta.Words) -> tuple[np.ndarray, np.ndarray]:
+                row, bucket = _buckets(ta.Words(column.slice(start, end - start)), bits)
+                np.add.at(sums[0], bucket, np.uint32(1))
+                np.add.at(sums[1], bucket[known[start:end][row]], np.uint32(1))
+        for k in range(0, 1 << bits, SLICE):
+            part = sums[:, k : k + SLICE]
+            if part[0].any():
+                packed = pa.compress(part.tobytes(), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([pa.array([k // SLICE], pa.int32()), pa.array([packed], pa.binary())], ["slice", "counts"])
+
+    def add(slices: pa.Table) -> pa.Table:
+        total = np.zeros((2, SLICE))
+        for packed in slices["counts"]:
+            total += np.frombuffer(pa.decompress(packed.as_py(), 8 * SLICE, "zstd"), np.uint32).reshape(2, -1)
+        packed, grams = pa.compress(total.astype(np.float32).tobytes(), "zstd", asbytes=True), total.sum(axis=1)
+        return pa.table({"slice": slices["slice"][:1], "counts": pa.array([packed], pa.binary()), "corpus": grams[:1], "trusted": grams[1:]})
+
+    marked = with_trust(docs.select("doc_id", "text"), labels, "trusted").select("text", "trusted")
+    schema = "slice int, counts binary"
+    added = marked.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, f"{schema}, corpus double, trusted double").collect()
+    return PackedModel(bits, [(r[0], bytes(r[1])) for r in added], sum(r[2] for r in added), sum(r[3] for r in added))
+
+
+def _buckets(words: ta.Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, bucket) of every word and every pair of neighbouring words."""
     row, pair = words.grams(2)
     every = np.concatenate([words.hash, pair])
-    return np.concatenate([words.row_of_word(), row]), (every >> np.uint64(50)).astype(np.int64)
+    return np.concatenate([words.row_of_word(), row]), (every >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def measure(column: pa.Array, ratios: np.ndarray) -> pa.StructArray:
+def ratios(words: ta.Words, trusted: np.ndarray, model: GramModel) -> np.ndarray:
+    """Mean log-ratio of each row's grams: found in trusted documents over expected there, both plus ``PRIOR``.
+
+    Expected is the bucket's share of the corpus times all grams of trusted documents. A row's own counts are
+    left out of the corpus and, where it is trusted, of the trusted documents. Buckets of which little is
+    expected, and so all of them with few labels, have ratios near 0.
+    """
+    row, bucket, times = ta.counted(*_buckets(words, model.bits))
+    grams = np.bincount(row, times, minlength=words.rows)
+    found = np.maximum(model.trusted[bucket] - times * trusted[row], 0.0)
+    all_found = np.maximum(model.trusted_grams - grams * trusted, 0.0)
+    rest = np.maximum(model.corpus_grams - grams, 1.0)
+    expected = np.maximum(model.corpus[bucket] - times, 0.0) * (all_found / rest)[row]
+    ratio = np.log((found + PRIOR) / (expected + PRIOR))
+    return np.bincount(row, times * ratio, minlength=words.rows) / np.maximum(grams, 1)
+
+
+def measure(column: pa.Array, trusted: np.ndarray, model: GramModel) -> pa.StructArray:
     """The measures of each text; see ``judge_quality``."""
     parts = []
     for start, end in ta.blocks(column):
         words = ta.Words(column.slice(start, end - start))
         sums = lambda inside: np.diff(np.concatenate([[0], np.cumsum(inside)])[words.offsets])
         letters = ((words.data & 0xC0) != 0x80) & ~ta.is_space(words.data)
-        row, bucket = _buckets(words)
-        score = np.bincount(row, ratios[bucket], minlength=words.rows)
-        grams = np.bincount(row, minlength=words.rows)
         parts.append(
             [
                 words.count,
@@ -96,7 +147,7 @@ def measure(column: pa.Array, ratios: np.ndarray) -> pa.StructArray:
                 sums(np.isin(words.data, np.frombuffer(SYMBOLS, np.uint8))),
                 _repeated_lines(words),
                 _repeated_words(words),
-                score / np.maximum(grams, 1),
+                ratios(words, trusted[start:end], model),
             ]
         )
     names = [field.split()[0] for field in MEASURES.split(", ")]
@@ -131,18 +182,22 @@ def _repeated_words(words: ta.Words) -> np.ndarray:
     return np.bincount(row[covered], minlength=words.rows)
 
 
-def with_quality(docs: DataFrame, ratios: np.ndarray, least_ratio: float = LEAST_RATIO, output: str = "_quality") -> DataFrame:
+def with_quality(docs: DataFrame, labels: DataFrame, model: PackedModel, least_ratio: float = LEAST_RATIO, output: str = "_quality") -> DataFrame:
     """``docs`` with a struct of the measures, ``base_failed`` and ``kept``. Texts stay where they are."""
 
     @F.arrow_udf(MEASURES)
-    def measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield measure(ta.as_large(batch), ratios)
+    def measures(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        counts = model.unpacked()
+        for text, trusted in batches:
+            yield measure(ta.as_large(text), np.asarray(trusted), counts)
 
+    trusted = free_name(docs, "_trusted")
     q = F.col(output)
     failed = (q["n_words"] < LEAST_WORDS) | (100 * q["n_repeat_words"] > MOST_REPEATED_PERCENT * q["n_words"])
     return (
-        docs.withColumn(output, measures("text"))
+        with_trust(docs, labels, trusted)
+        .withColumn(output, measures("text", trusted))
+        .drop(trusted)
         .withColumn(output, q.withField("base_failed", failed))
         .withColumn(output, q.withField("kept", ~q["base_failed"] & (q["ratio"] >= least_ratio)))
     )
@@ -153,12 +208,13 @@ def judge_quality(docs: DataFrame, labels: DataFrame, least_ratio: float = LEAST
 
     A document fails the base rules with fewer than 20 words, or when more than 30 % of its words lie in
     8-word windows that occur twice. The others are kept when the mean log-likelihood ratio of their
-    words and word pairs, between documents labelled good and all documents, is at least ``least_ratio``.
+    words and word pairs, between documents labelled good and all documents, is at least ``least_ratio``;
+    see ``ratios``. All labelled documents count.
 
     A null or empty text has no words, so it fails. Equal rows get equal verdicts, and each counts in the
     corpus model. An empty table gives no rows. Without labels only the base rules decide. Texts of any
     length are measured whole, in blocks of rows of bounded bytes.
     """
-    judged = with_quality(docs.select("doc_id", "text"), ratio_table(docs, labels), least_ratio)
+    judged = with_quality(docs.select("doc_id", "text"), labels, gram_model(docs, labels), least_ratio)
     names = [field.split()[0] for field in MEASURES.split(", ")] + ["base_failed", "kept"]
     return judged.select("doc_id", *[F.col("_quality")[n].alias(n) for n in names])
