@@ -51,3 +51,16 @@ def test_ratio_equals_brute_force(spark):
         assert exact[k] == pytest.approx(score / own.total(), abs=2e-3)
         # At 2**14 buckets some grams share one.
         assert got[k] == pytest.approx(score / own.total(), abs=0.05)
+
+
+def test_buckets_follow_the_text_and_all_labels_count(spark):
+    """Junk among so many different words that 2**14 buckets hold a hundred each is still told from prose."""
+    draw = np.random.default_rng(5)
+    prose = [" ".join(f"p{n}" for n in draw.integers(0, 60_000, 400)) for _ in range(1500)]
+    junk = [" ".join(f"j{n}" for n in draw.integers(0, 300, 400)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(prose + junk)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, 1) for k in range(700)], LABELS)
+    model = gram_model(docs, labels)
+    assert model.bits > 14 and model.trusted_grams == 700 * 799 and model.corpus_grams == 1560 * 799
+    got = {r.doc_id: r.kept for r in judge_quality(docs, labels).collect()}
+    assert all(got[k] for k in range(1500)) and not any(got[k] for k in range(1500, 1560))

@@ -19,7 +19,7 @@ MOST_REPEATED_PERCENT = 30
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 #: Buckets of hashed grams follow the bytes of text, which bound the number of different grams, between these powers of two.
-FEWEST_BITS, MOST_BITS = 14, 14
+FEWEST_BITS, MOST_BITS = 14, 24
 BYTES_PER_BUCKET = 4
 SLICE = 1 << 14
 #: A gram counts as found this often among trusted documents and as often expected there, besides what was counted.
