@@ -1,4 +1,4 @@
-"""Near-duplicate texts by ProbMinHash signatures of weighted shingles, banding and verification."""
+"""Near-duplicate texts by ProbMinHash signatures of shingle sets, banding and verification."""
 
 from __future__ import annotations
 
@@ -79,8 +79,9 @@ def sketch(column: pa.Array, bands: int = BANDS, per_band: int = ROWS_PER_BAND)
     parts = []
     for start, end in ta.blocks(column):
         words = ta.Words(column.slice(start, end - start))
-        row, value, weight = weighted_shingles(words)
-        signatures = prob_min_hash(row, value, weight, words.rows, bands * per_band)
+        row, value, _ = weighted_shingles(words)
+        # Weight 1: components agree with the Jaccard similarity that links are verified on.
+        signatures = prob_min_hash(row, value, np.ones(len(row)), words.rows, bands * per_band)
         has = np.flatnonzero(words.count > 0)
         name = np.zeros((2, words.rows), np.uint64)
         name[0, has] = words._hash_runs(words.first[has], words.count[has])
