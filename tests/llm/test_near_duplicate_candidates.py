@@ -13,3 +13,37 @@ def test_a_repeated_passage_does_not_hide_a_copy(spark, checkpoint_store):
         rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + words[:90] * 300))]
     got = nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"), checkpoint_store).collect()
     assert {r.doc_id: r.class_id for r in got} == {k: k - k % 2 for k in range(80)}
+
+
+def _block(hashes, shingles, band, bands):
+    n = len(shingles)
+    return pa.table(
+        {
+            "doc_id": list(range(n)),
+            "component": list(range(n)),
+            "shingles": shingles,
+            "probe": [True] + [False] * (n - 1),
+            "band": [band] * n,
+            "bands": pa.array(bands, pa.list_(pa.int64())),
+            "signature": pa.array([bytes(nd.BANDS * nd.ROWS_PER_BAND)] * n, pa.binary()),
+            "lowest": pa.array(hashes, pa.list_(pa.int64())),
+        }
+    )
+
+
+def test_a_pair_is_compared_in_the_first_band_with_equal_keys():
+    """All signature bytes agree, by chance, but the keys are equal from band 3 on alone."""
+    same = list(range(10))
+    bands = [[100 * (k < 3) * row + k for k in range(nd.BANDS)] for row in range(2)]
+    bands[1] = [b if k >= 3 else b + 1 for k, b in enumerate(bands[1])]
+    compare = nd._block_comparer(0.8)
+    assert [compare(_block([same, same], [10, 10], band, bands)).num_rows for band in range(5)] == [0, 0, 0, 1, 0]
+
+
+def test_full_lists_give_an_estimate():
+    """256 shingles each, 228 common: similarity 228/284 = 0.803, but less among the 256 smallest of the union."""
+    a = list(range(28)) + list(range(100, 328))
+    b = list(range(28, 56)) + list(range(100, 328))
+    assert len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
+    bands = [list(range(nd.BANDS))] * 2
+    assert nd._block_comparer(0.8)(_block([a, b], [256, 256], 0, bands)).num_rows == 1

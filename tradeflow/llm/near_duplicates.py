@@ -153,7 +153,7 @@ def near_duplicate_classes(docs: DataFrame, store: Store, least: float = LEAST_S
     )
     members = _bucket_members(texts, store)
     grams = _shingles_of(docs, members, store)
-    labels = _link(members, grams, store, least)
+    labels = _link(members, texts, grams, store, least)
     named = texts.join(labels, texts["doc_id"] == labels["node"], "left").select(
         *keys, F.coalesce("component", "doc_id").alias("class_id")
     )
@@ -185,12 +185,12 @@ def _shingles_of(docs: DataFrame, members: DataFrame, store: Store) -> DataFrame
     return store.keep(found.select(F.col("doc_id").alias("id"), F.arrow_udf(_shingle_set, "array<long>")("text").alias("grams")), "near-shingles")
 
 
-def _link(members: DataFrame, grams: DataFrame, store: Store, least: float) -> DataFrame:
+def _link(members: DataFrame, texts: DataFrame, grams: DataFrame, store: Store, least: float) -> DataFrame:
     """Classes of all linked texts: every bucket's hub first, then the pairs that are still apart."""
     links = store.keep(_verified(_hub_pairs(members, store, least), grams, least), "near-links-1")
     labels = components(links, store, "near-components-1")
     apart = store.keep(_apart(members, labels, store), "near-apart")
-    pairs = _pairs_apart(apart, grams, least)
+    pairs = _pairs_apart(apart, texts, grams, least)
     more = store.keep(_verified(pairs, grams, least), "near-links-2")
     return labels if more.isEmpty() else components(links.union(more), store, "near-components-2")
 
@@ -209,19 +209,19 @@ def _apart(members: DataFrame, labels: DataFrame, store: Store) -> DataFrame:
     return current.join(split, "bucket")
 
 
-def _pairs_apart(apart: DataFrame, grams: DataFrame, least: float) -> DataFrame:
+def _pairs_apart(apart: DataFrame, texts: DataFrame, grams: DataFrame, least: float) -> DataFrame:
     """Pairs of one bucket in different classes whose signatures agree enough, each once.
 
     One of a pair is outside the bucket's largest class: it is the probe, and the other the target.
     Small buckets are joined. In the others, probes and targets are dealt into blocks of bounded size,
-    every block of probes meets every block of targets, each pair in the first band it shares alone. Only
-    pairs whose smallest shingle hashes are alike too leave the task; with few shingles that is exact.
+    every block of probes meets every block of targets, each pair only in the first band whose keys are equal. Only
+    pairs whose smallest shingle hashes are alike too leave the task; below ``SKETCH_SHINGLES`` that is exact.
     """
     small = F.col("texts") * F.col("others") <= JOINED_PAIRS
     probe = F.col("component") != F.col("largest")
     few, many = apart.filter(small), apart.filter(~small)
     lowest = grams.select(F.col("id").alias("doc_id"), F.slice("grams", 1, SKETCH_SHINGLES).alias("lowest"))
-    many = many.join(lowest, "doc_id")
+    many = many.join(lowest, "doc_id").join(texts.select("doc_id", "bands"), "doc_id")
     other = few.select(
         "bucket",
         F.col("doc_id").alias("hub"),
@@ -237,7 +237,7 @@ def _pairs_apart(apart: DataFrame, grams: DataFrame, least: float) -> DataFrame:
     target_blocks = F.ceil(F.col("texts") / TARGETS).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     dealt = lambda n, seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), n).cast("int")
-    kept = ["bucket", "band", "doc_id", "shingles", "component", "signature", "lowest"]
+    kept = ["bucket", "band", "doc_id", "shingles", "component", "signature", "lowest", "bands"]
     probes = many.filter(probe).select(*kept, F.lit(True).alias("probe"), dealt(probe_blocks, 1).alias("p"), all_of(target_blocks).alias("t"))
     targets = many.select(*kept, F.lit(False).alias("probe"), dealt(target_blocks, 2).alias("t"), all_of(probe_blocks).alias("p"))
     blocks = probes.unionByName(targets).groupBy("bucket", "p", "t")
@@ -251,19 +251,21 @@ def _block_comparer(least: float):
         ids, classes, sizes = (block[c].to_numpy() for c in ("doc_id", "component", "shingles"))
         probe, band = np.asarray(block["probe"]), block["band"][0].as_py()
         signatures = _matrix(block["signature"].combine_chunks())
+        keys = block["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         # Lists hold unsigned hashes, smallest first.
         lowest = block["lowest"].combine_chunks()
         flat, cut = lowest.flatten().to_numpy().view(np.uint64), lowest.offsets.to_numpy() - lowest.offsets[0].as_py()
         targets = np.flatnonzero(~probe)
         pairs = []
         for k in np.flatnonzero(probe):
-            agree = signatures[targets] == signatures[k]
-            bands = agree.reshape(len(targets), BANDS, ROWS_PER_BAND).all(axis=2)
-            possible = (agree.sum(axis=1) >= LEAST_AGREEMENT) & (bands.argmax(axis=1) == band) & (classes[targets] != classes[k])
+            agree = (signatures[targets] == signatures[k]).sum(axis=1)
+            # Bytes may agree in a band whose keys differ, so the keys themselves are compared.
+            first = (keys[targets] == keys[k]).argmax(axis=1)
+            possible = (agree >= LEAST_AGREEMENT) & (first == band) & (classes[targets] != classes[k])
             small, large = np.minimum(sizes[targets], sizes[k]), np.maximum(sizes[targets], sizes[k])
             own = flat[cut[k] : cut[k + 1]]
             for other in targets[possible & (small >= least * large)]:
-                if _estimate(own, flat[cut[other] : cut[other + 1]]) >= (least if max(sizes[k], sizes[other]) <= SKETCH_SHINGLES else LEAST_ESTIMATE):
+                if _estimate(own, flat[cut[other] : cut[other + 1]]) >= (least if max(sizes[k], sizes[other]) < SKETCH_SHINGLES else LEAST_ESTIMATE):
                     pairs.append((min(ids[k], ids[other]), max(ids[k], ids[other])))
         found = np.array(pairs, np.int64).reshape(-1, 2)
         return pa.table({"doc_id": found[:, 0], "hub": found[:, 1]})
