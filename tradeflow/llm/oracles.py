@@ -131,3 +131,82 @@ SELECT page_id, host, path, rule,
   coalesce(trust, 0)::DOUBLE AS trust, coalesce(distrust, 0)::DOUBLE AS distrust
 FROM said LEFT JOIN steps USING (host)
 """
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR END" for f in fields) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes (level, k, i, h, n) over ``leaves`` (k, i, h, n), and of each run's nodes what stands left and right of them."""
+    return f"""
+{name} AS (
+  SELECT 0 AS level, k, i, h, n FROM {leaves}
+  UNION ALL SELECT level + 1, k, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM {name} WHERE n > 1 GROUP BY level, k, i // 8, n),
+{name}_runs AS (
+  SELECT level, k, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1 WINDOW w AS (PARTITION BY level, k, i // 8 ORDER BY i))"""
+
+
+def merkle() -> str:
+    lower = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS k, {_leaf("text")} AS h,
+    CASE WHEN {crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(lower)} ELSE {_leaf("text")} END AS claimed
+  FROM documents, crc_table),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM hashed),
+{_tree("nodes", "leaves")},
+tops AS (
+  SELECT k AS name, '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, h, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_tree("crown", "tops")},
+climb AS (
+  SELECT doc_id, k, h AS leaf, i AS id, 0 AS level, i, claimed AS folded, '' AS proof FROM leaves
+  UNION ALL SELECT doc_id, k, leaf, id, c.level + 1, c.i // 8, sha256(l || folded || r), proof || l || r
+  FROM climb c JOIN nodes_runs USING (level, k, i)),
+up AS (
+  SELECT doc_id, leaf, id, c.k AS name, 0 AS level, t.i, t.h AS subroot, folded, proof
+  FROM (SELECT * FROM climb QUALIFY level = max(level) OVER (PARTITION BY k, id)) c JOIN tops t ON t.name = c.k
+  UNION ALL SELECT doc_id, leaf, id, name, c.level + 1, c.i // 8, subroot, sha256(l || folded || r), proof || l || r
+  FROM up c JOIN crown_runs s ON s.level = c.level AND s.i = c.i)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM (SELECT * FROM up QUALIFY level = max(level) OVER (PARTITION BY name, id)), (SELECT h AS root FROM crown WHERE n = 1)
+"""
+
+
+TRIE = rf"""
+WITH {CRC_TABLE},
+turns AS (
+  SELECT conv_id AS c, md5(strlen(role) || ':' || role || text) AS name, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) - 1 AS r
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+sizes AS (SELECT c, count(*) AS own, {crc32("c::VARCHAR")} % 4 AS h FROM turns, crc_table GROUP BY c, t),
+convs AS (
+  SELECT a.c, a.h, a.c - a.c % 20 AS first, least(a.h, coalesce(b.own, 0)) AS taken FROM sizes a LEFT JOIN sizes b ON b.c = a.c - a.c % 20),
+rebuilt AS (
+  SELECT v.c, r + 1 AS d, name, words FROM convs v JOIN turns ON turns.c = first AND r < h
+  UNION ALL SELECT v.c, taken + r - h + 1, name, words FROM convs v JOIN turns ON turns.c = v.c AND r >= h),
+members AS (
+  SELECT c, d, words, string_agg(name, '') OVER (PARTITION BY c ORDER BY d) AS key FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+nodes AS (SELECT d, key, min(c) AS c, count(*) AS n, min(words) AS words FROM members GROUP BY d, key),
+kids AS (SELECT d - 1 AS d, left(key, 32 * (d - 1)) AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+weighed AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS children, p.c AS parent FROM nodes LEFT JOIN kids USING (d, key)
+  LEFT JOIN nodes p ON p.d = nodes.d - 1 AND p.key = left(nodes.key, 32 * (nodes.d - 1))),
+sums AS (
+  SELECT m.d, m.key, count(*) FILTER (children = 0) AS leaves, sum((w.n - 1) * w.words) AS saved
+  FROM weighed w JOIN members m ON m.c = w.c AND m.d <= w.d GROUP BY m.d, m.key),
+ends AS (
+  SELECT d, key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM (SELECT * FROM members QUALIFY d = max(d) OVER (PARTITION BY c)) GROUP BY d, key)
+SELECT c AS conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n AS n_convs, children AS n_children, leaves AS n_leaves, saved::BIGINT AS saved_tokens,
+  coalesce(ends, sha256('')) AS ends_sha256
+FROM weighed JOIN sums USING (d, key) LEFT JOIN ends USING (d, key)
+"""

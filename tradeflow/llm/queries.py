@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeflow.llm import oracles
+from tradeflow.llm.conversation_trie import conversation_trie
 from tradeflow.llm.embedding_links import link_embeddings
 from tradeflow.llm.language import identify_languages
 from tradeflow.llm.licenses import LEAST_DICE, TEMPLATES, scan_licenses
+from tradeflow.llm.merkle import verify_manifest
 from tradeflow.llm.mixing import mix_sources
 from tradeflow.llm.near_duplicates import near_duplicate_classes
 from tradeflow.llm.packing import pack_documents
@@ -17,6 +19,7 @@ from tradeflow.llm.quality import judge_quality
 from tradeflow.llm.sharding import shard_by_bytes
 from tradeflow.llm.storage import Store, documents
 from tradeflow.llm.token_counts import token_report
+from tradeflow.llm.token_files import token_files
 from tradeflow.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,18 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), Store(spark))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_manifest(documents(spark, sf_dir), Store(spark))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(documents(spark, sf_dir), Store(spark))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), Store(spark))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_shard_bytes,
@@ -74,6 +89,9 @@ QUERIES: dict[str, Query] = {
         op8_near_duplicates,
         op9_token_counts,
         op10_pack,
+        op11_merkle_manifest,
+        op12_token_files,
+        op13_prefix_trie,
     )
 }
 
@@ -82,4 +100,6 @@ ORACLES: dict[str, str] = {
     "op2_mix_sources": oracles.MIX,
     "op5_url_trust": oracles.URLS,
     "op7_license_scan": oracles.licenses(TEMPLATES, LEAST_DICE),
+    "op11_merkle_manifest": oracles.merkle(),
+    "op13_prefix_trie": oracles.TRIE,
 }
