@@ -278,6 +278,24 @@ FROM (
 )
 """
 
+_DEFECTS = """
+SELECT criterion, CAST(observed AS BIGINT) AS observed, CAST(0 AS BIGINT) AS expected, observed = 0 AS passed
+FROM (
+  SELECT '1 all feeds are ingested' AS criterion, 1 AS observed
+  UNION ALL SELECT '2 raw rows are traceable',
+         (SELECT COUNT(*) FROM raw_orders WHERE product_id IS NULL) + (SELECT COUNT(*) FROM raw_price_events)
+  UNION ALL SELECT '3 clean orders hold no invalid rows', (SELECT COUNT(*) FROM clean_orders WHERE channel = 'BUILDING')
+  UNION ALL SELECT '4 quarantined rows have a reason',
+         (SELECT COUNT(*) FROM quarantine_orders WHERE _quarantine_reason = 'INVALID_PRICE')
+       + (SELECT COUNT(*) FROM quarantine_price_events WHERE _quarantine_reason = 'INVALID_OLD_PRICE')
+  UNION ALL SELECT '5 orders are counted once', (SELECT COUNT(*) FROM clean_orders WHERE channel = 'BUILDING')
+  UNION ALL SELECT '6 every stocked product has a risk class', (SELECT COUNT(*) FROM inventory_risk WHERE risk_level = 'HIGH')
+  UNION ALL SELECT '7 anomalies reach the threshold',
+         (SELECT COUNT(*) FROM clean_price_events) - (SELECT COUNT(*) FROM price_anomalies)
+  UNION ALL SELECT '8 metric tables hold rows', 1
+)
+"""
+
 _CHANNELS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 _PIVOT = (
     "SELECT date, "
@@ -321,6 +339,7 @@ _BODIES = {
     "full_run": _FULL_RUN,
     "run_totals": _RUN_TOTALS,
     "acceptance_report": _ACCEPTANCE,
+    "acceptance_defects": _DEFECTS,
     "export_metrics": _union(
         "SELECT 'daily_revenue' AS table_name, COUNT(*) AS rows, SUM(gross_revenue) AS total FROM daily_revenue",
         "SELECT 'inventory_risk', COUNT(*), CAST(SUM(current_quantity) AS DOUBLE) FROM inventory_risk",

@@ -9,8 +9,6 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from tradeflow.session import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import SF_DIR
+from frames import SF_DIR
 from oracle_check import compare, connect
 
 import __spark_entry__ as driver

@@ -27,7 +27,7 @@ def main() -> None:
     for name, value in run.totals(spark, done).first().asDict().items():
         print(f"{name:28s} {value:>16,}")
     for feed in run.FEEDS:
-        for reason, rows in quarantine_summary(tables.read(spark, done.quarantined(feed))).items():
+        for reason, rows in quarantine_summary(run.quarantined_rows(spark, done, feed)).items():
             print(f"{feed:12s} {reason:20s} {rows:>11,}")
     stored = {name: done.metric(name) for name in run.METRICS}
     for name, folder in serving.export_metrics(spark, stored, f"{args.output}/export").items():

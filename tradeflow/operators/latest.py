@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], hashed: bool = False
 ) -> DataFrame:
@@ -47,3 +48,19 @@ def mark_superseded(
         .withColumn(flag, F.col("_in_play") & ((F.col("_rank") > 1) | (F.row_number().over(across) > 1)))
         .drop("_in_play", "_hash", "_slot", "_rank", "_stage")
     )
+
+
+def mark_replaced(
+    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], eligible: Column, flag: str, row_id: Sequence[str]
+) -> DataFrame:
+    """``mark_superseded`` for rows that have an identity (``tables.with_row_id``): no window, whatever a key's frequency.
+
+    The best row of a key comes from an aggregate that every map task does for its own rows first, so a
+    frequent key arrives as one row per task. Its id is joined back on the id, which is unique: the rows
+    themselves are shuffled once, and no key gathers them. ``newest_first`` must be descending, nulls last.
+    Of rows that tie in it the one with the greatest id stays.
+    """
+    ranking = F.struct(*[c.alias(f"_{k}") for k, c in enumerate(newest_first)], *row_id)
+    best = df.groupBy(key_hash(keys).alias("_hash"), *keys).agg(F.max(F.when(eligible, ranking)).alias("_best"))
+    first = best.filter("_best IS NOT NULL").select(*[F.col(f"_best.{c}") for c in row_id], F.lit(True).alias("_first"))
+    return df.join(first, list(row_id), "left").withColumn(flag, eligible & F.col("_first").isNull()).drop("_first")

@@ -51,6 +51,35 @@ def uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn("is_unique", F.col("rows") == F.col("distinct_keys"))
 
 
+def label_totals(labelled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(reason, rows) of a feed whose rows are labelled by the rules alone; NULL counts the clean rows.
+
+    Copies that a later row replaces are not marked to be counted: among the rows without a reason, one
+    per key is clean and the others are duplicates. Only keys and counts move, summed in the map tasks first.
+    """
+    passed = F.col(REASON).isNull()
+    per_key = labelled.groupBy(REASON, *[F.when(passed, F.col(k)).alias(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    totals = per_key.groupBy(REASON).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_keys"))
+    split = F.array(
+        F.struct(F.col(REASON).alias("reason"), F.when(passed & F.lit(bool(keys)), F.col("_keys")).otherwise(F.col("_n")).alias("rows")),
+        F.struct(F.lit(DUPLICATE).alias("reason"), F.when(passed & F.lit(bool(keys)), F.col("_n") - F.col("_keys")).otherwise(0).alias("rows")),
+    )
+    counted = totals.select(F.inline(split)).filter("rows > 0")
+    return counted.groupBy(F.col("reason").alias(REASON)).agg(F.sum("rows").alias("rows"))
+
+
+def reconcile_totals(totals: DataFrame) -> DataFrame:
+    """``reconciliation`` from ``label_totals``."""
+    sum_of = lambda which: F.coalesce(F.sum(F.when(which, F.col("rows"))), F.lit(0))
+    clean, quarantined = sum_of(F.col(REASON).isNull()), sum_of(F.col(REASON).isNotNull())
+    return totals.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("raw_rows"),
+        clean.alias("clean_rows"),
+        quarantined.alias("quarantined_rows"),
+        sum_of(F.col(REASON) == DUPLICATE).alias("duplicate_rows"),
+    ).withColumn("balanced", F.col("raw_rows") == F.col("clean_rows") + F.col("quarantined_rows"))
+
+
 def reconciliation(labelled: DataFrame) -> DataFrame:
     """One row over a labelled table: every raw row is either clean or quarantined."""
     clean = F.count_if(F.col(REASON).isNull())

@@ -2,45 +2,61 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators.quality import uniqueness
+from tradeflow.plans import run
 from tradeflow.plans.metrics import ANOMALY_THRESHOLD, is_price_anomaly
 from tradeflow.plans.run import FEEDS, METRICS, Layout
 from tradeflow.sources import tables
 from tradeflow.sources.schemas import PROVENANCE, REASON
 
+INGESTED = "1 all feeds are ingested"
+TRACEABLE = "2 raw rows are traceable"
+VALID = "3 clean orders hold no invalid rows"
+REASONED = "4 quarantined rows have a reason"
+ONCE = "5 orders are counted once"
+CLASSED = "6 every stocked product has a risk class"
+LARGE = "7 anomalies reach the threshold"
+FILLED = "8 metric tables hold rows"
+
 
 def acceptance_report(spark: SparkSession, layout: Layout, threshold: float = ANOMALY_THRESHOLD) -> DataFrame:
-    """Columns criterion, observed, expected, passed."""
-    raw = [tables.read(spark, layout.raw(feed)) for feed in FEEDS]
-    quarantined = [tables.read(spark, layout.quarantined(feed)) for feed in FEEDS]
-    metric = {name: tables.read(spark, layout.metric(name)) for name in METRICS}
-    orders = tables.read(spark, layout.clean("orders"))
-    risk, anomalies = metric["inventory_risk"], metric["price_anomalies"]
+    """Columns criterion, observed, expected, passed, over the stored tables of a run."""
+    return judge(
+        {feed: tables.read(spark, layout.raw(feed)) for feed in FEEDS},
+        {feed: run.quarantined_rows(spark, layout, feed) for feed in FEEDS},
+        run.clean_rows(spark, layout, "orders"),
+        {name: tables.read(spark, layout.metric(name)) for name in METRICS},
+        threshold,
+    )
+
 
+def judge(
+    raw: Mapping[str, DataFrame],
+    quarantined: Mapping[str, DataFrame],
+    orders: DataFrame,
+    metric: Mapping[str, DataFrame],
+    threshold: float = ANOMALY_THRESHOLD,
+) -> DataFrame:
+    """The report over given tables. Each is read once: all its criteria are counted in one pass."""
     untraceable = F.greatest(*[F.col(c).isNull().cast("int") for c in PROVENANCE]) == 1
     invalid = F.col("order_id").isNull() | F.coalesce(F.col("quantity") <= 0, F.lit(True))
-    unclassified = F.col("risk_level").isNull()
     small = ~is_price_anomaly(F.col("old_price"), F.col("new_price"), threshold)
-    repeated = uniqueness(orders, ["order_id"]).select(
-        (F.col("rows") - F.col("distinct_keys")).alias("observed")
-    )
-    checks = [
-        ("1 all feeds are ingested", _total([_empty(t) for t in raw])),
-        ("2 raw rows are traceable", _total([_count(t, untraceable) for t in raw])),
-        ("3 clean orders hold no invalid rows", _count(orders, invalid)),
-        ("4 quarantined rows have a reason", _total([_count(t, F.col(REASON).isNull()) for t in quarantined])),
-        ("5 orders are counted once", repeated),
-        ("6 every stocked product has a risk class", _count(risk, unclassified)),
-        ("7 anomalies reach the threshold", _count(anomalies, small)),
-        ("8 metric tables hold rows", _total([_empty(t) for t in metric.values()])),
+    per_order = orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_rows"), F.count_if(invalid).alias("_invalid"))
+    empty = (F.count(F.lit(1)) == 0).cast("bigint")
+    counted = [
+        *[_counts(t, {INGESTED: empty, TRACEABLE: F.count_if(untraceable)}) for t in raw.values()],
+        *[_counts(t, {REASONED: F.count_if(F.col(REASON).isNull())}) for t in quarantined.values()],
+        _counts(per_order, {VALID: _sum("_invalid"), ONCE: _sum("_rows") - F.count(F.lit(1))}),
+        _counts(metric["daily_revenue"], {FILLED: empty}),
+        _counts(metric["inventory_risk"], {FILLED: empty, CLASSED: F.count_if(F.col("risk_level").isNull())}),
+        _counts(metric["price_anomalies"], {FILLED: empty, LARGE: F.count_if(small)}),
     ]
-    rows = [check.withColumn("criterion", F.lit(name)) for name, check in checks]
-    return reduce(DataFrame.unionByName, rows).select(
+    return reduce(DataFrame.unionByName, counted).groupBy("criterion").agg(F.sum("observed").alias("observed")).select(
         "criterion",
         "observed",
         F.lit(0).cast("bigint").alias("expected"),
@@ -48,13 +64,13 @@ def acceptance_report(spark: SparkSession, layout: Layout, threshold: float = AN
     )
 
 
-def _count(df: DataFrame, violation: Column) -> DataFrame:
-    return df.agg(F.count_if(violation).alias("observed"))
-
-
-def _empty(df: DataFrame) -> DataFrame:
-    return df.agg((F.count(F.lit(1)) == 0).cast("bigint").alias("observed"))
+def _sum(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
 
 
-def _total(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts).agg(F.sum("observed").alias("observed"))
+def _counts(table: DataFrame, criteria: Mapping[str, Column]) -> DataFrame:
+    """One pass over a table, one row per criterion."""
+    numbered = dict(enumerate(criteria.items()))
+    row = table.agg(*[count.alias(f"_{k}") for k, (_, count) in numbered.items()])
+    pairs = [F.struct(F.lit(name).alias("criterion"), F.col(f"_{k}").alias("observed")) for k, (name, _) in numbered.items()]
+    return row.select(F.inline(F.array(*pairs)))

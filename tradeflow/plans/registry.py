@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tradeflow.operators import changelog, layout, quality
-from tradeflow.operators.latest import mark_superseded
+from tradeflow.operators.latest import mark_replaced
 from tradeflow.plans import metrics, run, serving
 from tradeflow.plans import validation as v
-from tradeflow.plans.acceptance import acceptance_report
+from tradeflow.plans.acceptance import acceptance_report, judge
 from tradeflow.session import shared_folder, use_utc
 from tradeflow.sources import feeds, raw, schemas, tables
 from tradeflow.sources.schemas import REASON
@@ -59,8 +59,13 @@ def clean_price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.clean(raw_price_events(spark, sf_dir), v.PRICE_EVENTS)
 
 
+def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders as a stored table, as ingestion leaves them; its rows have an identity."""
+    return tables.overwrite(raw_orders(spark, sf_dir), f"{shared_folder(spark)}/raw")
+
+
 def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.label(raw_orders(spark, sf_dir), v.ORDERS)
+    return v.label_stored(stored_orders(spark, sf_dir), v.ORDERS)
 
 
 def quarantine_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +168,7 @@ def _route(feed: v.Feed, source: Query) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = shared_folder(spark)
         tables.overwrite(source(spark, sf_dir), f"{folder}/raw")
-        good, bad = v.process(spark, feed, f"{folder}/raw", f"{folder}/clean", f"{folder}/quarantined")
+        good, bad = v.route(spark, feed, f"{folder}/raw", f"{folder}/routed")
         texts = {c: f"{c}_text" for c in feed.casts}
         return good.unionByName(bad.withColumnsRenamed(texts), allowMissingColumns=True)
 
@@ -178,13 +183,12 @@ def _run(spark: SparkSession, sf_dir: str) -> run.Layout:
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every table that a run from files writes."""
     done = _run(spark, sf_dir)
-    paths = {f"raw_{feed}": done.raw(feed) for feed in run.FEEDS}
-    paths |= {f"clean_{feed}": done.clean(feed) for feed in run.FEEDS}
-    paths |= {f"quarantined_{feed}": done.quarantined(feed) for feed in run.FEEDS}
-    paths |= {name: done.metric(name) for name in run.METRICS}
+    found = {f"raw_{feed}": tables.read(spark, done.raw(feed)) for feed in run.FEEDS}
+    found |= {f"clean_{feed}": run.clean_rows(spark, done, feed) for feed in run.FEEDS}
+    found |= {f"quarantined_{feed}": run.quarantined_rows(spark, done, feed) for feed in run.FEEDS}
+    found |= {name: tables.read(spark, done.metric(name)) for name in run.METRICS}
     counts = [
-        tables.read(spark, path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-        for name, path in paths.items()
+        table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")) for name, table in found.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -197,6 +201,30 @@ def acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acceptance_report(spark, _run(spark, sf_dir))
 
 
+def acceptance_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over tables in which every criterion is broken, so that each count is put to the test."""
+    orders, stock, events = (q(spark, sf_dir) for q in (raw_orders, raw_inventory, raw_price_events))
+    no_file = F.when(F.col("product_id").isNull(), F.lit(None)).otherwise(F.col(schemas.SOURCE_FILE))
+    raw_tables = {
+        "orders": orders.withColumn(schemas.SOURCE_FILE, no_file),
+        "inventory": stock.filter(F.lit(False)),
+        "price_events": events.withColumn(schemas.INGESTED_AT, F.lit(None).cast("string")),
+    }
+    no_reason = F.when(F.col(REASON).isin("INVALID_PRICE", "INVALID_OLD_PRICE"), F.lit(None)).otherwise(F.col(REASON))
+    bad = {"orders": quarantine_orders, "inventory": quarantine_inventory, "price_events": quarantine_price_events}
+    quarantined = {feed: query(spark, sf_dir).withColumn(REASON, no_reason) for feed, query in bad.items()}
+    clean = roundtrip(spark, sf_dir)
+    again = clean.filter("channel = 'BUILDING'").withColumn("quantity", -F.col("quantity"))
+    unclassed = F.when(F.col("risk_level") != "HIGH", F.col("risk_level"))
+    changes = metrics.price_change_ratio(F.col("old_price"), F.col("new_price"))
+    measured = {
+        "daily_revenue": metrics.daily_revenue(clean).filter(F.lit(False)),
+        "inventory_risk": inventory_risk(spark, sf_dir).withColumn("risk_level", unclassed),
+        "price_anomalies": clean_price_events(spark, sf_dir).withColumn("price_change_ratio", changes),
+    }
+    return judge(raw_tables, quarantined, clean.unionByName(again), measured)
+
+
 def export_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and one sum per metric table, read from the exported files."""
     folder = shared_folder(spark)
@@ -256,10 +284,9 @@ def label_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row that passes the rules, and whether a later copy replaces it."""
-    valid = v.label_rows(raw_orders(spark, sf_dir), v.ORDERS).filter(F.col(REASON).isNull())
-    marked = mark_superseded(
-        valid, v.ORDERS.unique_key, v.ORDERS.newest_first(), F.lit(True), "superseded"
-    )
+    labelled = v.label_rows(tables.with_row_id(stored_orders(spark, sf_dir)), v.ORDERS)
+    valid = labelled.filter(F.col(REASON).isNull())
+    marked = mark_replaced(valid, v.ORDERS.unique_key, v.ORDERS.ranking(), F.lit(True), "superseded", tables.ROW_ID)
     return marked.select(*v.ORDERS.columns, "superseded")
 
 
@@ -382,14 +409,15 @@ def anomaly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Quality.
 
 
+def _label_totals(spark: SparkSession, sf_dir: str, feed: v.Feed, source: Query) -> DataFrame:
+    return quality.label_totals(v.label_rows(source(spark, sf_dir), feed), feed.unique_key)
+
+
 def quarantine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per feed and reason, from counts per key: no row is marked for it."""
     parts = [
-        quality.reason_counts(query(spark, sf_dir)).withColumn("feed", F.lit(name))
-        for name, query in (
-            ("orders", quarantine_orders),
-            ("inventory", quarantine_inventory),
-            ("price_events", quarantine_price_events),
-        )
+        _label_totals(spark, sf_dir, feed, source).filter(F.col(REASON).isNotNull()).withColumn("feed", F.lit(feed.name))
+        for feed, source in ((v.ORDERS, raw_orders), (v.INVENTORY, raw_inventory), (v.PRICE_EVENTS, raw_price_events))
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -399,7 +427,7 @@ def uniqueness_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.reconciliation(labelled_orders(spark, sf_dir))
+    return quality.reconcile_totals(_label_totals(spark, sf_dir, v.ORDERS, raw_orders))
 
 
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -553,6 +581,7 @@ QUERIES: dict[str, Query] = {
         "full_run": full_run,
         "run_totals": run_totals,
         "acceptance_report": acceptance,
+        "acceptance_defects": acceptance_defects,
         "export_metrics": export_metrics,
         "cast_orders": cast_orders,
         "parse_timestamps": parse_timestamps,

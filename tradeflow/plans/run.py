@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.plans import metrics
-from tradeflow.plans.validation import process_inventory, process_orders, process_price_events
+from tradeflow.plans import validation as v
 from tradeflow.sources import raw, tables
 
 FEEDS = ("orders", "inventory", "price_events")
@@ -24,11 +24,8 @@ class Layout:
     def raw(self, feed: str) -> str:
         return f"{self.base}/raw/{feed}"
 
-    def clean(self, feed: str) -> str:
-        return f"{self.base}/clean/{feed}"
-
-    def quarantined(self, feed: str) -> str:
-        return f"{self.base}/clean/quarantined_{feed}"
+    def routed(self, feed: str) -> str:
+        return f"{self.base}/routed/{feed}"
 
     def metric(self, name: str) -> str:
         return f"{self.base}/metrics/{name}"
@@ -41,20 +38,23 @@ def ingest(spark: SparkSession, sources: dict[str, str], layout: Layout) -> None
 
 
 def validate(spark: SparkSession, layout: Layout) -> None:
-    steps = {
-        "orders": process_orders,
-        "inventory": process_inventory,
-        "price_events": process_price_events,
-    }
-    for feed, step in steps.items():
-        step(spark, layout.raw(feed), layout.clean(feed), layout.quarantined(feed))
+    for feed in FEEDS:
+        v.route(spark, v.FEEDS[feed], layout.raw(feed), layout.routed(feed))
+
+
+def clean_rows(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
+    return v.read_routed(spark, v.FEEDS[feed], layout.routed(feed))[0]
+
+
+def quarantined_rows(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
+    return v.read_routed(spark, v.FEEDS[feed], layout.routed(feed))[1]
 
 
 def build_metrics(spark: SparkSession, layout: Layout) -> None:
-    orders, inventory, events = (layout.clean(feed) for feed in FEEDS)
-    metrics.build_daily_revenue(spark, orders, layout.metric("daily_revenue"))
-    metrics.build_inventory_risk(spark, orders, inventory, layout.metric("inventory_risk"))
-    metrics.build_price_anomalies(spark, events, layout.metric("price_anomalies"))
+    orders, inventory, events = (clean_rows(spark, layout, feed) for feed in FEEDS)
+    tables.overwrite(metrics.daily_revenue(orders), layout.metric("daily_revenue"))
+    tables.overwrite(metrics.inventory_risk(orders, inventory), layout.metric("inventory_risk"))
+    tables.overwrite(metrics.price_anomalies(events), layout.metric("price_anomalies"))
 
 
 def run_all(spark: SparkSession, sources: dict[str, str], base: str) -> Layout:
@@ -73,9 +73,9 @@ def totals(spark: SparkSession, layout: Layout) -> DataFrame:
     for feed in FEEDS:
         parts += [
             tables.read(spark, layout.raw(feed)).agg(rows.alias(f"raw_{feed}")),
-            tables.read(spark, layout.quarantined(feed)).agg(rows.alias(f"quarantined_{feed}")),
+            quarantined_rows(spark, layout, feed).agg(rows.alias(f"quarantined_{feed}")),
         ]
-    clean = {feed: tables.read(spark, layout.clean(feed)) for feed in FEEDS}
+    clean = {feed: clean_rows(spark, layout, feed) for feed in FEEDS}
     stocked = clean["inventory"]
     risk = tables.read(spark, layout.metric("inventory_risk"))
     revenue = tables.read(spark, layout.metric("daily_revenue"))

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.functions.typed import is_missing, is_not_positive, is_not_price, to_double, to_instant, to_long
-from tradeflow.operators.latest import latest_per_key, mark_superseded
+from tradeflow.operators.latest import latest_per_key, mark_replaced, mark_superseded
 from tradeflow.operators.rules import Rule, label_first
 from tradeflow.sources import tables
-from tradeflow.sources.schemas import DUPLICATE, PROVENANCE, REASON
+from tradeflow.sources.schemas import CLEAN, DUPLICATE, PROVENANCE, QUARANTINED, REASON, STATUS
 
 
 @dataclass(frozen=True)
@@ -31,11 +31,13 @@ class Feed:
         """The converted value of a labelled frame, or the text where nothing is converted."""
         return F.col(f"_typed_{column}" if column in self.casts else column)
 
-    def newest_first(self) -> list[Column]:
-        """A total order: rows that still tie agree in every column either output carries."""
+    def ranking(self) -> list[Column]:
+        """A total order, greatest first: rows that still tie agree in every column either output carries."""
         rest = [c for c in self.columns if c not in (*self.unique_key, self.newest_by)]
-        raw = [*rest, self.newest_by, *PROVENANCE]
-        return [c.desc_nulls_last() for c in (self.typed(self.newest_by), *map(F.col, raw))]
+        return [self.typed(self.newest_by), *map(F.col, [*rest, self.newest_by, *PROVENANCE])]
+
+    def newest_first(self) -> list[Column]:
+        return [c.desc_nulls_last() for c in self.ranking()]
 
 
 ORDERS = Feed(
@@ -97,6 +99,16 @@ def label(raw: DataFrame, feed: Feed) -> DataFrame:
     return marked.withColumn(REASON, reason).drop("_superseded")
 
 
+def label_stored(raw: DataFrame, feed: Feed) -> DataFrame:
+    """``label`` for a stored raw table: replaced copies are found through the identity of stored rows."""
+    if not feed.unique_key:
+        return label_rows(raw, feed)
+    labelled = label_rows(tables.with_row_id(raw), feed)
+    marked = mark_replaced(labelled, feed.unique_key, feed.ranking(), F.col(REASON).isNull(), "_superseded", tables.ROW_ID)
+    reason = F.when(F.col("_superseded"), F.lit(DUPLICATE)).otherwise(F.col(REASON))
+    return marked.withColumn(REASON, reason).drop("_superseded", *tables.ROW_ID)
+
+
 def select_clean(labelled: DataFrame, feed: Feed) -> DataFrame:
     return labelled.filter(F.col(REASON).isNull()).select(
         *[feed.typed(c).alias(c) for c in feed.columns],
@@ -132,19 +144,51 @@ def validate(raw: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
     return clean(raw, feed), quarantined(raw, feed)
 
 
+def route(spark: SparkSession, feed: Feed, raw_path: str, routed_path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the labelled feed once, as one table with a folder per status; return its clean and its quarantined rows.
+
+    Clean rows hold the typed values and quarantined rows the texts (``<column>_text`` where a value is
+    converted) and the reason. Labelling, conversions and the search for replaced copies are done once for both.
+    """
+    tables.overwrite_parts(routing(label_stored(tables.read(spark, raw_path), feed), feed), routed_path, STATUS)
+    return read_routed(spark, feed, routed_path)
+
+
+def routing(labelled: DataFrame, feed: Feed) -> DataFrame:
+    """The columns of a routed table."""
+    good = F.col(REASON).isNull()
+    values = {c: F.when(good, feed.typed(c)) if c in feed.casts else F.col(c) for c in feed.columns}
+    texts = {f"{c}_text": F.when(~good, F.col(c)) for c in feed.casts}
+    flags = {flag: F.when(good, make()) for flag, make in feed.flags.items()}
+    return labelled.select(
+        *[value.alias(name) for name, value in (values | texts | flags).items()],
+        *PROVENANCE,
+        REASON,
+        F.when(good, CLEAN).otherwise(QUARANTINED).alias(STATUS),
+    )
+
+
+def read_routed(spark: SparkSession, feed: Feed, routed_path: str) -> tuple[DataFrame, DataFrame]:
+    """Clean and quarantined rows of a routed table; each reads its own folder only, and a missing folder is no rows."""
+    nothing = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*feed.columns, *PROVENANCE)))
+    schema = routing(label_rows(nothing, feed), feed).schema
+    table = spark.read.schema(schema).parquet(routed_path)
+    clean_rows = table.filter(F.col(STATUS) == CLEAN).select(*feed.columns, *feed.flags, *PROVENANCE)
+    back = [F.col(f"{c}_text" if c in feed.casts else c).alias(c) for c in feed.columns]
+    return clean_rows, table.filter(F.col(STATUS) == QUARANTINED).select(*back, *PROVENANCE, REASON)
+
+
 def process(
     spark: SparkSession, feed: Feed, raw_path: str, clean_path: str, quarantine_path: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Write both tables from the raw one and return what is stored.
+    """Write both tables from the raw one and return what is stored; ``route`` does the work, once for both."""
+    good, bad = route(spark, feed, raw_path, f"{clean_path.rstrip('/')}-routed")
+    stored = tables.overwrite(good, clean_path), tables.overwrite(bad, quarantine_path)
+    tables.drop(spark, f"{clean_path.rstrip('/')}-routed")
+    return stored
 
-    The raw table is read once for each: clean rows are cut to one per key before their shuffle, so keeping
-    the labelled feed for both would cost a copy of it and save one scan.
-    """
-    raw = tables.read(spark, raw_path)
-    return (
-        tables.overwrite(clean(raw, feed), clean_path),
-        tables.overwrite(quarantined(raw, feed), quarantine_path),
-    )
+
+FEEDS = {feed.name: feed for feed in (ORDERS, INVENTORY, PRICE_EVENTS)}
 
 
 def validate_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,7 @@ PROVENANCE = (INGESTED_AT, SOURCE_FILE)
 CORRUPT = "_corrupt_record"
 REASON = "_quarantine_reason"
 DUPLICATE = "DUPLICATE_ORDER"
+STATUS, CLEAN, QUARANTINED = "_status", "clean", "quarantined"
 
 
 def _text(*names: str) -> StructType:

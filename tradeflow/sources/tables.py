@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: A stored row's identity: a hash of its file's path, and its number in the file.
+ROW_ID = ("_file_hash", "_file_row")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -33,6 +38,11 @@ def subfolders(spark: SparkSession, path: str, needed: str | None = None) -> lis
     return [f.getName() for f in found if needed is None or files.exists(new_path(f, needed))]
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    files, where = folder(spark, path)
+    files.delete(where, True)
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None while it has not been written yet."""
     try:
@@ -53,3 +63,14 @@ def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace the table and return the *stored* rows, so that later actions do not recompute them."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_row_id(table: DataFrame) -> DataFrame:
+    """A stored Parquet table with ``ROW_ID``; every scan gives a row the same identity."""
+    place = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
+    return table.select("*", *[value.alias(name) for value, name in zip(place, ROW_ID)])
+
+
+def overwrite_parts(df: DataFrame, path: str, by: str) -> None:
+    """Replace the table by one folder per value of ``by``, in one write."""
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
