@@ -219,3 +219,43 @@ def test_what_a_failed_job_left_is_neither_read_nor_numbered(spark, folder):
     assert c.latest_version(spark, log) == 0 and c.read_log(spark, log).count() == 1
     assert c.merge_upsert(spark, batch(spark, o2=2), log, ["order_id"]) == 1
     assert state(c.read_version(spark, log, 1)) == dict(o1=1, o2=2)
+
+
+def scanned_rows(df):
+    """Rows that the scans of a frame handed on after skipping row groups."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_a_small_batch_reads_few_row_groups_of_a_log_with_many(spark, folder):
+    """Keys are spread over the whole range in every file, so only Bloom filters can tell them apart."""
+    log = f"{folder}/log"
+    for k in range(12):
+        ids = spark.range(5_000).select(F.sha2(F.concat(F.lit(f"{k}/"), F.col("id").cast("string")), 256).alias("order_id"), F.lit("p").alias("product_id"), "id", F.lit(1.0).alias("unit_price"))
+        c.append(spark, ids.withColumnRenamed("id", "quantity").coalesce(1), log, ["order_id"])
+    table = c.read_log(spark, log)
+    one = table.filter("quantity = 17 AND _version = 5").drop(*c.LOG_COLUMNS).withColumn("quantity", F.lit(-1).cast("long"))
+    found = c.only_keys_of(table, one, ["order_id"], c.check_batch(one, ["order_id"]))
+    assert found.count() == 1 and table.count() == 60_000
+    assert scanned_rows(found) <= 2 * 5_000
+    assert c.append(spark, one, log, ["order_id"]) == 12
+    assert c.read_version(spark, log, 12).filter("quantity = -1").count() == 1 and c.read_version(spark, log, 12).count() == 60_000
+
+
+def test_every_way_of_finding_a_batch_gives_the_same_log(spark, folder, monkeypatch):
+    for scanned, sent in ((256, 1000), (0, 1000), (0, 0)):
+        monkeypatch.setattr(c, "SCANNED_KEYS", scanned)
+        monkeypatch.setattr(c, "BROADCAST_KEYS", sent)
+        log = f"{folder}/log-{scanned}-{sent}"
+        c.append(spark, batch(spark, **{f"o{k}": k for k in range(20)}), log, ["order_id"])
+        c.append(spark, batch(spark, **{f"o{k}": k % 2 for k in range(15, 25)}), log, ["order_id"])
+        assert state(c.read_version(spark, log, 1)) == {f"o{k}": k % 2 if k >= 15 else k for k in range(25)}
+
+
+def test_commit_counts_are_those_of_the_written_rows(spark, folder):
+    log = f"{folder}/log"
+    for changed in (dict(o1=1, o2=2), dict(o2=3, o3=4), dict(o2=3)):
+        c.append(spark, batch(spark, **changed), log, ["order_id"])
+    assert rows(c.table_history(spark, log)) == rows(c.history(c.read_log(spark, log)))
+    assert c.versions(spark, log) == [0, 1]

@@ -1,14 +1,11 @@
-"""Keyed upserts with versions, kept as a change log in plain Parquet.
-
-A log is a folder with one partition per version. Each row is the full image of a changed row plus
-``_version``, ``_operation`` ('insert' or 'update') and ``_committed_at``. The key columns are marked
-in the stored schema. Commits are made by one writer at a time; commit times never decrease with the
-version.
-
-A version counts when its folder holds the marker that Spark writes last, so what a failed job has left
-is neither read nor numbered, and the next commit replaces it. Which versions there are comes from the
-folder listing. Next to the versions the log keeps one summary row per commit (``_commits``) and, after
-retention, the oldest version that is still complete (``_horizon``); Spark skips both when it reads the log.
+"""Keyed upserts with versions, as DataFrame operators over one partitioned Parquet table.
+
+The log is one table partitioned by version. Each row is the full image of a changed row plus ``_version``,
+``_operation`` ('insert' or 'update') and ``_committed_at``. Next to it, in ``_commits``, which Spark skips
+when it reads the log, stands one row per commit, appended after the commit's rows: the version, its time, the
+counts that the write job itself observed, the keys, and whether the version can still be read in full. A version
+counts when its commit row is there; what a failed job has left is replaced by the next commit. Commits are
+made by one writer at a time; commit times never decrease with the version.
 """
 
 from __future__ import annotations
@@ -16,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.operators.latest import key_hash, latest_per_key
@@ -30,8 +28,10 @@ LOG_COLUMNS = (VERSION, OPERATION, COMMITTED_AT)
 KEY_MARK = "tradeflow.key"
 RETENTION_HOURS = 168.0
 HISTORY_ROWS = 20
-MARKER = "_SUCCESS"
-COMMITS, HORIZON = "_commits", "_horizon"
+COMMITS = "_commits"
+COMMIT_SCHEMA = f"{VERSION} bigint, {COMMITTED_AT} timestamp, rows bigint, inserted bigint, updated bigint, keys array<string>, readable boolean"
+#: Up to so many keys of a batch are searched for in the scan itself, by each file's statistics and Bloom filters.
+SCANNED_KEYS = 256
 
 # A batch up to this size is sent to every executor, to read only its own keys from the log.
 BROADCAST_KEYS = 500_000
@@ -114,57 +114,92 @@ def append(
 
     The batch is read several times, so it should be stored rows and not a long computation.
 
-    A version becomes visible when Spark commits its write job; a job that failed before that is
-    replaced when the batch is sent again. A batch that changes nothing adds no version.
+    A version becomes visible with its commit row; a job that failed before that is replaced when the
+    batch is sent again. A batch that changes nothing adds no version.
     """
     size = check_batch(updates, keys)
-    known = versions(spark, log_path)
-    newest = known[-1] if known else None
-    current, stamp = None, F.lit(committed_at or datetime.now(timezone.utc))
-    if newest is not None:
+    stamp, version, current = committed_at or datetime.now(timezone.utc), 0, None
+    last = _last_commit(spark, log_path)
+    if last is not None:
         log = read_log(spark, log_path)
-        if sorted(key_columns(log)) != sorted(keys):
-            raise ValueError(f"the log is keyed by {key_columns(log)}, not by {list(keys)}")
+        if sorted(last["keys"]) != sorted(keys):
+            raise ValueError(f"the log is keyed by {last['keys']}, not by {list(keys)}")
         _check_columns(log.drop(*LOG_COLUMNS), updates)
-        last = log.filter(F.col(VERSION) == newest).select(COMMITTED_AT).first()[0]
-        stamp = F.greatest(stamp, F.lit(last))
-        if size.keys_fit_in_memory():
-            log = log.join(F.broadcast(updates.select(*keys)), list(keys), "left_semi")
-        current = as_of(log, keys, newest)
-    version = 0 if newest is None else newest + 1
-    rows = _mark_keys(changes(current, updates, keys).withColumn(COMMITTED_AT, stamp), keys)
-    path = f"{log_path}/{VERSION}={version}"
-    # Sorted keys let the footers rule out row groups when a later batch looks for its own keys.
-    rows.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-    written = spark.read.schema(rows.schema).parquet(path)
-    if written.isEmpty():
-        files, where = tables.folder(spark, path)
-        files.delete(where, True)
-        return newest
-    summary = _summaries(written.withColumn(VERSION, F.lit(version).cast("bigint")))
-    summary.coalesce(1).write.mode("overwrite").parquet(f"{log_path}/{COMMITS}/{version}")
+        version = last[VERSION] + 1
+        current = as_of(only_keys_of(log, updates, keys, size), keys, last[VERSION])
+    stamped = changes(current, updates, keys).withColumn(
+        COMMITTED_AT, F.lit(stamp) if last is None else F.greatest(F.lit(stamp), F.lit(last[COMMITTED_AT]))
+    )
+    counted = Observation()
+    rows = stamped.withColumn(VERSION, F.lit(version).cast("bigint")).observe(
+        counted,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(OPERATION) == "insert").alias("inserted"),
+        F.count_if(F.col(OPERATION) == "update").alias("updated"),
+        F.max(COMMITTED_AT).alias("time"),
+    )
+    # Of a failed earlier attempt only the same version is replaced.
+    _write_rows(rows.sortWithinPartitions(*keys), keys, log_path, "dynamic")
+    found = counted.get
+    if not found["rows"]:
+        return None if last is None else last[VERSION]
+    row = (version, found["time"], found["rows"], found["inserted"], found["updated"], list(keys), True)
+    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{log_path}/{COMMITS}")
     return version
 
 
+def only_keys_of(log: DataFrame, batch: DataFrame, keys: Sequence[str], size: BatchSize) -> DataFrame:
+    """The log's rows that the batch may replace, read by the cheapest way that the batch's size allows.
+
+    A few keys become filters of the scan, which rules out row groups by their statistics and by the Bloom
+    filters of the key column. More are sent to every executor. Beyond that the log is left whole.
+    """
+    if not size.keys_fit_in_memory():
+        return log
+    wanted = batch.select(*keys)
+    if len(keys) == 1 and 0 < size.rows <= SCANNED_KEYS:
+        same = [F.col(keys[0]) == F.lit(row[0]) for row in wanted.collect()]
+        while len(same) > 1:
+            same = [reduce(Column.__or__, same[k : k + 2]) for k in range(0, len(same), 2)]
+        return log.filter(same[0])
+    return log.join(F.broadcast(wanted), list(keys), "left_semi")
+
+
+def _write_rows(rows: DataFrame, keys: Sequence[str], log_path: str, replaced: str) -> None:
+    """Write rows by version, with a Bloom filter of each key column in every row group."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", replaced).partitionBy(VERSION)
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(log_path)
+
+
 merge_upsert = append
 
 
+def commits(spark: SparkSession, log_path: str) -> DataFrame:
+    """One row per commit; none while there is no log."""
+    known = tables.read_if_present(spark, f"{log_path}/{COMMITS}")
+    return spark.createDataFrame([], COMMIT_SCHEMA) if known is None else known
+
+
+def _last_commit(spark: SparkSession, log_path: str):
+    return commits(spark, log_path).agg(F.max_by(F.struct("*"), VERSION).alias("last")).first()["last"]
+
+
 def versions(spark: SparkSession, log_path: str) -> list[int]:
-    """Committed versions, oldest first, from the folder listing."""
-    found = tables.subfolders(spark, log_path, MARKER)
-    return sorted(int(name.split("=")[1]) for name in found if name.startswith(f"{VERSION}="))
+    """Versions whose rows are there, oldest first."""
+    return [row[0] for row in commits(spark, log_path).select(VERSION).orderBy(VERSION).collect()]
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     """All rows of committed versions."""
     log = tables.read(spark, log_path).withColumn(VERSION, F.col(VERSION).cast("bigint"))
-    folders = [n for n in tables.subfolders(spark, log_path) if n.startswith(f"{VERSION}=")]
-    known = versions(spark, log_path)
-    return log if len(folders) == len(known) else log.filter(F.col(VERSION).isin(known))
+    last = _last_commit(spark, log_path)
+    return log.limit(0) if last is None else _mark_keys(log.filter(F.col(VERSION) <= last[VERSION]), last["keys"])
 
 
 def is_log(spark: SparkSession, path: str) -> bool:
-    return any(n.startswith(f"{VERSION}=") for n in tables.subfolders(spark, path))
+    return tables.read_if_present(spark, f"{path}/{COMMITS}") is not None
 
 
 def key_columns(log: DataFrame) -> list[str]:
@@ -172,7 +207,7 @@ def key_columns(log: DataFrame) -> list[str]:
 
 
 def table_exists(spark: SparkSession, log_path: str) -> bool:
-    return bool(versions(spark, log_path))
+    return not commits(spark, log_path).isEmpty()
 
 
 def as_of(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
@@ -187,26 +222,26 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
 
 def read_version(spark: SparkSession, log_path: str, version: int) -> DataFrame:
     """The table at a version; versions that retention has made incomplete are refused."""
-    known, oldest = versions(spark, log_path), oldest_complete(spark, log_path)
-    if not known or not oldest <= version <= known[-1]:
-        raise ValueError(f"version {version} is not readable; versions {oldest} to {known[-1] if known else None} are")
+    known = commits(spark, log_path).filter((F.col(VERSION) == version) & F.col("readable"))
+    if known.isEmpty():
+        newest = latest_version(spark, log_path)
+        raise ValueError(f"version {version} is not readable; versions {oldest_complete(spark, log_path)} to {newest} are")
     log = read_log(spark, log_path)
     return as_of(log, key_columns(log), version)
 
 
 def oldest_complete(spark: SparkSession, log_path: str) -> int:
     """The oldest version that can be read in full: 0 until retention has removed rows."""
-    horizon = tables.read_if_present(spark, f"{log_path}/{HORIZON}")
-    return 0 if horizon is None else horizon.first()[0]
+    return commits(spark, log_path).filter("readable").agg(F.coalesce(F.min(VERSION), F.lit(0))).first()[0]
 
 
 def newest_version(log: DataFrame) -> DataFrame:
+    """One row from the log or its commits alike."""
     return log.agg(F.max(VERSION).alias("latest_version"))
 
 
 def latest_version(spark: SparkSession, log_path: str) -> int | None:
-    known = versions(spark, log_path)
-    return known[-1] if known else None
+    return newest_version(commits(spark, log_path)).first()[0]
 
 
 def _summaries(log: DataFrame) -> DataFrame:
@@ -223,18 +258,9 @@ def history(log: DataFrame, limit: int = HISTORY_ROWS) -> DataFrame:
 
 
 def table_history(spark: SparkSession, log_path: str, limit: int = HISTORY_ROWS) -> DataFrame:
-    """The newest ``limit`` commits from their summary rows, also those whose rows retention has removed.
-
-    A commit whose summary is missing, because its writer died in between, is counted from its rows.
-    """
-    written = {int(n) for n in tables.subfolders(spark, f"{log_path}/{COMMITS}", MARKER)}
-    newest = sorted(written | set(versions(spark, log_path)), reverse=True)[:limit]
-    paths = [f"{log_path}/{COMMITS}/{n}" for n in newest if n in written]
-    counted = read_log(spark, log_path).filter(F.col(VERSION).isin([n for n in newest if n not in written]))
-    found = _summaries(counted)
-    if paths:
-        found = spark.read.parquet(*paths).unionByName(found) if len(paths) < len(newest) else spark.read.parquet(*paths)
-    return found.orderBy(F.desc(VERSION)).limit(limit)
+    """The newest ``limit`` commits from their commit rows, also those whose rows retention has removed."""
+    shown = commits(spark, log_path).select(VERSION, COMMITTED_AT, "rows", "inserted", "updated")
+    return shown.orderBy(F.desc(VERSION)).limit(limit)
 
 
 def expire(log: DataFrame, keys: Sequence[str], cutoff: datetime | Column) -> DataFrame:
@@ -260,14 +286,12 @@ def vacuum_table(
 
 
 def expire_log(spark: SparkSession, log_path: str, output_path: str, cutoff: datetime) -> DataFrame:
-    """``vacuum_table`` with the cutoff itself; the new log knows its history and its oldest complete version."""
-    log = read_log(spark, log_path)
+    """``vacuum_table`` with the cutoff itself; the new log keeps all commits and marks which are still complete."""
+    log, known = read_log(spark, log_path), commits(spark, log_path)
     keys = key_columns(log)
-    history_rows = table_history(spark, log_path, limit=1 + (latest_version(spark, log_path) or 0))
-    shown = history_rows.filter(F.col(COMMITTED_AT) <= F.lit(cutoff)).agg(F.max(VERSION)).first()[0]
-    horizon = max(oldest_complete(spark, log_path), shown or 0)
-    _rewrite(spark, _mark_keys(expire(log, keys, cutoff), keys), keys, keys, log_path, output_path, horizon)
-    return read_log(spark, output_path)
+    shown = F.coalesce(F.max(F.when(F.col(COMMITTED_AT) <= F.lit(cutoff), F.col(VERSION))), F.lit(0))
+    complete = F.col("readable") & (F.col(VERSION) >= known.agg(shown).first()[0])
+    return _rewrite(expire(log, keys, cutoff), keys, keys, known.withColumn("readable", complete), output_path)
 
 
 def optimize_log(
@@ -283,27 +307,16 @@ def optimize_log(
     missing = [c for c in order if c not in log.columns]
     if missing:
         raise ValueError(f"columns not in the table: {missing}")
-    _rewrite(spark, log, keys, order, log_path, output_path, oldest_complete(spark, log_path))
-    return read_log(spark, output_path)
+    return _rewrite(log, keys, order, commits(spark, log_path), output_path)
 
 
-def _rewrite(
-    spark: SparkSession, log: DataFrame, keys: Sequence[str], order: Sequence[str], source: str, target: str, horizon: int
-) -> None:
+def _rewrite(log: DataFrame, keys: Sequence[str], order: Sequence[str], known: DataFrame, target: str) -> DataFrame:
+    """Two writes whatever the number of versions: the rows, then the commits that make them count."""
     # Ranges keep the files per version few and still split a version that holds most rows.
-    placed = _mark_keys(log, keys).repartitionByRange(F.col(VERSION), *[F.col(c) for c in order], key_hash(keys))
-    placed = placed.sortWithinPartitions(VERSION, *order)
-    placed.write.mode("overwrite").partitionBy(VERSION).parquet(target)
-    summaries = table_history(spark, source, limit=1 + (latest_version(spark, source) or 0)).collect()
-    for row in summaries:
-        one = spark.createDataFrame([row], table_history(spark, source).schema)
-        one.coalesce(1).write.mode("overwrite").parquet(f"{target}/{COMMITS}/{row[VERSION]}")
-    spark.range(horizon, horizon + 1, 1, 1).write.mode("overwrite").parquet(f"{target}/{HORIZON}")
-    # The marks come last: until then no version of the new log counts.
-    for name in tables.subfolders(spark, target):
-        if name.startswith(f"{VERSION}="):
-            files, where = tables.folder(spark, f"{target}/{name}/{MARKER}")
-            files.create(where, True).close()
+    placed = log.repartitionByRange(F.col(VERSION), *[F.col(c) for c in order], key_hash(keys))
+    _write_rows(placed.sortWithinPartitions(VERSION, *order), keys, target, "static")
+    known.coalesce(1).write.mode("overwrite").parquet(f"{target}/{COMMITS}")
+    return read_log(log.sparkSession, target)
 
 
 def _mark_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

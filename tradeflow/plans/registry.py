@@ -485,9 +485,7 @@ def as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log_path = _logged(spark, sf_dir, (0, 1, 2))
-    newest = F.lit(changelog.latest_version(spark, log_path)).cast("bigint")
-    return changelog.read_log(spark, log_path).agg(F.max(F.lit(1))).select(newest.alias("latest_version"))
+    return changelog.newest_version(changelog.commits(spark, _logged(spark, sf_dir, (0, 1, 2))))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,12 +533,9 @@ def _optimized_then_upserted(zorder_by: list[str] | None) -> Query:
 def log_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the log exists, counted over its rows, and whether one that was never written does."""
     log_path = _logged(spark, sf_dir, (0,))
+    written, unwritten = (changelog.commits(spark, path).agg((F.count(F.lit(1)) > 0).alias("there")) for path in (log_path, f"{log_path}-none"))
     rows = changelog.read_log(spark, log_path).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.select(
-        "rows",
-        F.lit(changelog.table_exists(spark, log_path)).alias("written"),
-        F.lit(changelog.table_exists(spark, f"{log_path}-none")).alias("unwritten"),
-    )
+    return metrics.one_row(rows, written.withColumnRenamed("there", "written"), unwritten.withColumnRenamed("there", "unwritten"))
 
 
 # Table layout.

@@ -28,16 +28,6 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(where).getLength()
 
 
-def subfolders(spark: SparkSession, path: str, needed: str | None = None) -> list[str]:
-    """Names of the folders below ``path``; with ``needed`` only those that hold such a file."""
-    files, where = folder(spark, path)
-    if not files.exists(where):
-        return []
-    found = [status.getPath() for status in files.listStatus(where) if status.isDirectory()]
-    new_path = spark._jvm.org.apache.hadoop.fs.Path
-    return [f.getName() for f in found if needed is None or files.exists(new_path(f, needed))]
-
-
 def drop(spark: SparkSession, path: str) -> None:
     files, where = folder(spark, path)
     files.delete(where, True)
