@@ -47,3 +47,17 @@ def test_full_lists_give_an_estimate():
     assert len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
     bands = [list(range(nd.BANDS))] * 2
     assert nd._block_comparer(0.8)(_block([a, b], [256, 256], 0, bands)).num_rows == 1
+
+
+def test_equal_ids_with_different_texts_keep_every_text(spark, checkpoint_store):
+    a, b, c = (" ".join(f"{x}{n}" for n in range(40)) for x in "abc")
+    near = c + " more"
+    rows = [(0, a), (1, a), (1, b), (2, c), (2, near), (2, c), (3, None), (3, ""), (3, " \n"), (None, a), (4, b), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.text) for r in nd.distinct_documents(docs, checkpoint_store).collect() if r.text and r.text.strip() and r.doc_id is not None)
+    assert got[:2] == [(0, a), (1, b)] and len(got) == 3 and got[2][0] == 2 and got[2][1] in (c, near)
+    wordless = [(r.doc_id, r.text) for r in nd.distinct_documents(docs, checkpoint_store).collect() if r.doc_id is None or not (r.text or "").strip()]
+    assert sorted(wordless, key=repr) == sorted([(3, None), (3, ""), (3, " \n"), (None, a), (4, None)], key=repr)
+    classes = nd.near_duplicate_classes(docs, checkpoint_store).collect()
+    assert len(classes) == len(rows)
+    assert sorted((r.doc_id, r.class_id) for r in classes if r.doc_id in (0, 1, 4) and r.words) == [(0, 0), (1, 0), (1, 1), (4, 1)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeflow.llm import text_arrays as ta
 from tradeflow.llm.components import components
-from tradeflow.llm.storage import Store
+from tradeflow.llm.storage import Store, free_name
 
 SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
@@ -25,6 +25,8 @@ SKETCH_SHINGLES, LEAST_ESTIMATE = 256, 0.7
 #: A task compares at most about this many texts with this many others of one bucket.
 PROBES, TARGETS = 256, 2048
 JOINED_PAIRS = 4096
+#: Text that a worker looks at together; it bounds what a worker holds.
+BLOCK_BYTES = 1 << 19
 
 
 def weighted_shingles(words: ta.Words, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,16 +79,12 @@ def sketch(column: pa.Array, bands: int = BANDS, per_band: int = ROWS_PER_BAND)
     One byte of each component is kept of the signature, for estimates before verification.
     """
     parts = []
-    for start, end in ta.blocks(column):
+    for start, end in ta.blocks(column, BLOCK_BYTES):
         words = ta.Words(column.slice(start, end - start))
         row, value, _ = weighted_shingles(words)
         # Weight 1: components agree with the Jaccard similarity that links are verified on.
         signatures = prob_min_hash(row, value, np.ones(len(row)), words.rows, bands * per_band)
-        has = np.flatnonzero(words.count > 0)
-        name = np.zeros((2, words.rows), np.uint64)
-        name[0, has] = words._hash_runs(words.first[has], words.count[has])
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(ta.mix(words.hash + ta.GOLDEN))])
-        name[1] = sums[words.first + words.count] - sums[words.first]
+        name = _text_name(words)
         shingles = np.bincount(row, minlength=words.rows)
         short = (signatures >> np.uint64(56)).astype(np.uint8)
         parts.append((words.count, name[0], name[1], shingles, band_keys(signatures, bands, per_band), short))
@@ -114,17 +112,42 @@ def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield sketch(ta.as_large(batch))
 
 
+def _text_name(words: ta.Words) -> np.ndarray:
+    """A 128-bit name of each row's word sequence; zero for a row without words."""
+    has = np.flatnonzero(words.count > 0)
+    name = np.zeros((2, words.rows), np.uint64)
+    name[0, has] = words._hash_runs(words.first[has], words.count[has])
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(ta.mix(words.hash + ta.GOLDEN))])
+    name[1] = sums[words.first + words.count] - sums[words.first]
+    return name
+
+
+def _named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        column, names = ta.as_large(batch), [np.zeros((2, 0), np.uint64)]
+        for start, end in ta.blocks(column, BLOCK_BYTES):
+            names.append(_text_name(ta.Words(column.slice(start, end - start))))
+        keys = np.concatenate(names, axis=1).view(np.int64)
+        yield pa.StructArray.from_arrays([pa.array(k) for k in keys], ["key_1", "key_2"])
+
+
 def _shingle_set(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        column, values, counts = ta.as_large(batch), [], []
-        for start, end in ta.blocks(column):
+        column, values, counts, names = ta.as_large(batch), [], [], [np.zeros((2, 0), np.uint64)]
+        for start, end in ta.blocks(column, BLOCK_BYTES):
             words = ta.Words(column.slice(start, end - start))
             row, value, _ = ta.counted(*words.grams(SHINGLE_WORDS, whole=True))
             values.append(value)
             counts.append(np.bincount(row, minlength=words.rows))
+            names.append(_text_name(words))
         ends = np.cumsum(np.concatenate(counts)) if counts else np.zeros(0)
         flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
-        yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
+        grams = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
+        keys = np.concatenate(names, axis=1).view(np.int64)
+        yield pa.StructArray.from_arrays([grams, *[pa.array(k) for k in keys]], ["grams", "key_1", "key_2"])
+
+
+KEYS = ["key_1", "key_2"]
 
 
 def near_duplicate_classes(docs: DataFrame, store: Store, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -140,30 +163,44 @@ def near_duplicate_classes(docs: DataFrame, store: Store, least: float = LEAST_S
     as it has texts. Then all pairs of a bucket that are still in different classes are compared, in blocks
     where the bucket is large. No bucket is capped.
 
-    A text that is null or has no words, and a row with a null doc_id, is in no class but its own. Of rows
-    with equal doc_id and text all but one fall out where documents are dropped (``distinct_documents``).
-    An empty table gives no rows; other columns are not read.
+    Rows are told apart by their texts: rows with equal doc_id and different texts are classed each by its
+    own text, and of two such texts in one class one is kept. A text that is null or has no words, and a row
+    with a null doc_id, is in no class but its own. Rows equal in doc_id and text get equal results; all but
+    one of them fall out where documents are dropped (``distinct_documents``). An empty table gives no rows;
+    other columns are not read.
     """
-    keys = ["key_1", "key_2"]
+    return _classes(docs, store, least).select("doc_id", "class_id", "words", "kept")
+
+
+def _classes(docs: DataFrame, store: Store, least: float) -> DataFrame:
+    """``near_duplicate_classes`` with the names (key_1, key_2) of the texts."""
     sketched = docs.select("doc_id", F.arrow_udf(_sketch, SKETCH)("text").alias("s")).select("doc_id", "s.*")
     sketched = store.keep(sketched, "near-sketches")
     usable = sketched.filter("words > 0 AND doc_id IS NOT NULL")
-    texts = store.keep(
-        usable.groupBy(*keys).agg(F.min(F.struct("doc_id", "shingles", "bands", "signature")).alias("t")).select(*keys, "t.*"), "near-texts"
-    )
-    members = _bucket_members(texts, store)
-    grams = _shingles_of(docs, members, store)
-    labels = _link(members, texts, grams, store, least)
-    named = texts.join(labels, texts["doc_id"] == labels["node"], "left").select(
-        *keys, F.coalesce("component", "doc_id").alias("class_id")
+    first = F.min(F.struct("doc_id", "shingles", "bands", "signature")).alias("t")
+    # The number that a text gets is kept with it, so every later step sees the same one.
+    texts = usable.groupBy(*KEYS).agg(first).select(*KEYS, "t.*", F.monotonically_increasing_id().alias("id"))
+    texts = store.keep(texts, "near-texts")
+    nodes = texts.drop("doc_id", *KEYS).withColumnRenamed("id", "doc_id")
+    members = _bucket_members(nodes, store)
+    grams = _shingles_of(docs, members, texts, store)
+    labels = _link(members, nodes, grams, store, least)
+    placed = texts.join(labels, texts["id"] == labels["node"], "left").select(*KEYS, "doc_id", F.coalesce("component", "id").alias("component"))
+    placed = store.keep(placed, "near-placed")
+    kept = placed.groupBy("component").agg(F.min(F.struct("doc_id", *KEYS)).alias("kept"))
+    # A class with very many texts, and a text with very many rows, are split by adaptive execution.
+    named = placed.join(kept, "component").select(
+        *KEYS, F.col("kept.doc_id").alias("class_id"), (F.struct("doc_id", *KEYS) == F.col("kept")).alias("is_kept")
     )
     named = store.keep(named, "near-classes")
-    # Frequent texts are split by adaptive execution.
-    return sketched.join(named, keys, "left").select(
+    classed = (F.col("words") > 0) & F.col("doc_id").isNotNull()
+    return sketched.join(named, KEYS, "left").select(
         "doc_id",
-        F.when((F.col("words") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        *KEYS,
+        F.when(classed, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         "words",
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+        F.when(classed, F.col("is_kept") & (F.col("doc_id") == F.col("class_id"))).otherwise(True).alias("kept"),
+    )
 
 
 def _bucket_members(texts: DataFrame, store: Store) -> DataFrame:
@@ -179,10 +216,15 @@ def _bucket_members(texts: DataFrame, store: Store) -> DataFrame:
     return store.keep(shared.join(central, "doc_id").select("bucket", "band", "doc_id", "shingles", "signature", "central"), "near-members")
 
 
-def _shingles_of(docs: DataFrame, members: DataFrame, store: Store) -> DataFrame:
-    wanted = store.keep(members.select("doc_id").distinct(), "near-wanted")
-    found = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    return store.keep(found.select(F.col("doc_id").alias("id"), F.arrow_udf(_shingle_set, "array<long>")("text").alias("grams")), "near-shingles")
+def _shingles_of(docs: DataFrame, members: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
+    """(id, grams): the shingles of every text that shares a bucket."""
+    wanted = members.select(F.col("doc_id").alias("id")).distinct().join(texts.select("id", "doc_id", *KEYS), "id")
+    wanted = store.keep(wanted.select("id", F.col("doc_id").alias("_doc"), *[F.col(k).alias(f"_{k}") for k in KEYS]), "near-wanted")
+    found = docs.select("doc_id", "text").join(wanted.select("_doc").distinct(), F.col("doc_id") == F.col("_doc"), "left_semi")
+    made = found.select("doc_id", F.arrow_udf(_shingle_set, "grams array<long>, key_1 long, key_2 long")("text").alias("s")).select("doc_id", "s.*")
+    same = (F.col("doc_id") == F.col("_doc")) & (F.col("key_1") == F.col("_key_1")) & (F.col("key_2") == F.col("_key_2"))
+    # Equal rows have equal shingles: one of them counts.
+    return store.keep(made.join(wanted, same).groupBy("id").agg(F.first("grams").alias("grams")), "near-shingles")
 
 
 def _link(members: DataFrame, texts: DataFrame, grams: DataFrame, store: Store, least: float) -> DataFrame:
@@ -328,13 +370,26 @@ def _verified(pairs: DataFrame, grams: DataFrame, least: float) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, store: Store, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, one per class."""
-    classes = near_duplicate_classes(docs, store, least)
+    """The rows of ``docs`` whose text is the one kept of its class.
+
+    Rows with equal doc_id and different texts are decided each by its own text; of rows equal in both one
+    stays. Rows without doc_id, and rows whose text is null or has no words, stay. An empty table gives no
+    rows; extra columns are passed on as they are. See ``near_duplicate_classes``.
+    """
+    classes = store.keep(_classes(docs, store, least).filter("doc_id IS NOT NULL AND words > 0"), "near-decided")
     per_id = classes.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
-    per_id = store.keep(per_id.filter("doc_id IS NOT NULL AND (rows > 1 OR NOT kept)"), "near-drops")
-    single = docs.join(per_id, "doc_id", "left_anti")
-    repeated = per_id.filter("kept")
+    decided = store.keep(per_id.filter("rows > 1 OR NOT kept").select("doc_id", "rows"), "near-drops")
+    single = docs.join(decided, "doc_id", "left_anti")
+    repeated = decided.filter("rows > 1")
     if repeated.isEmpty():
-        return single
-    again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(again)
+        return single.unionByName(_wordless(docs.join(decided, "doc_id", "left_semi")))
+    name = free_name(docs, "_text_name")
+    again = docs.join(decided, "doc_id", "left_semi").withColumn(name, F.arrow_udf(_named, "key_1 long, key_2 long")("text"))
+    stay = classes.filter("kept").join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("_doc"), *[F.col(k).alias(f"_{k}") for k in KEYS]).distinct()
+    same = (F.col("doc_id") == F.col("_doc")) & (F.col(name)["key_1"] == F.col("_key_1")) & (F.col(name)["key_2"] == F.col("_key_2"))
+    chosen = again.join(stay, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    return single.unionByName(chosen).unionByName(_wordless(again.drop(name)))
+
+
+def _wordless(docs: DataFrame) -> DataFrame:
+    return docs.filter(F.coalesce(F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")), F.lit("")) == "")
