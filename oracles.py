@@ -330,6 +330,14 @@ _BODIES = {
             for f in ("orders", "inventory", "price_events")
         ]
     ),
+    "file_manifest": _union(
+        *[
+            f"SELECT '{feed}' AS feed, CASE WHEN {chosen} THEN 'one' ELSE 'others' END AS batch, COUNT(*) AS rows, "
+            f"COUNT(*) AS parsed_rows, CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS blank_rows, TRUE AS sized FROM raw_{feed} GROUP BY 2"
+            for feed, chosen in (("orders", "channel = 'BUILDING'"), ("inventory", "warehouse = 'WH-1'"), ("price_events", "source = 'click'"))
+        ],
+        *[f"SELECT '{feed}', 'bad', 3, 0, 3, {blank}, TRUE" for feed, blank in (("orders", 3), ("inventory", 0), ("price_events", 3))],
+    ),
     "roundtrip": "SELECT * FROM clean_orders",
     "route_orders": _routed("clean_orders", "quarantine_orders", ("quantity", "unit_price", "ordered_at")),
     "route_inventory": _routed("clean_inventory", "quarantine_inventory", ("quantity", "updated_at")),

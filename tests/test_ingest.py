@@ -95,3 +95,12 @@ def test_shared_folder_follows_the_session(spark):
     first, second = shared_folder(spark), shared_folder(spark)
     base = spark.conf.get("spark.checkpoint.dir")
     assert first != second and first.startswith(base) and second.startswith(base)
+
+
+def test_a_file_manifest_counts_every_line_once(spark, folder):
+    write(folder, "a.jsonl", '{"order_id": "a"}\n{"order_id": "b"}\nnot json\n')
+    write(folder, "b.jsonl", "[1\n")
+    write(folder, "empty.jsonl", "")
+    found = raw.file_manifest(raw.read_json_lines(spark, f"{folder}/*.jsonl", RAW_ORDERS)).collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.bytes, r.rows, r.parsed_rows, r.corrupt_rows, r.blank_rows) for r in found) == [("a.jsonl", 45, 3, 2, 1, 1), ("b.jsonl", 3, 1, 0, 1, 1)]
+    assert all(r.modified_at is not None for r in found)

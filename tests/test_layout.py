@@ -1,3 +1,4 @@
+import decimal
 import glob
 import os
 
@@ -107,3 +108,36 @@ def test_optimize_keeps_rows(spark, scattered, folder):
     before = rows(spark.read.parquet(scattered))
     assert rows(layout.optimize_table(spark, scattered, f"{folder}/one")) == before
     assert rows(layout.optimize_table(spark, scattered, f"{folder}/two", zorder_by=["a"])) == before
+
+
+def test_cut_points_split_a_skewed_column_evenly(spark):
+    """Values that crowd at one end, and texts that differ only after a long common start."""
+    n = F.col("id")
+    skewed = spark.range(20_000).select(F.exp(n / 1500.0).alias("x"), F.format_string("warehouse-north-%08d", n * n).alias("y"))
+    places = {c: layout.place_of(skewed, c) for c in ("x", "y")}
+    cuts = layout.cut_points(skewed, places, bits=4)
+    for column, place in places.items():
+        assert len(cuts[column]) == 15
+        sizes = [r["count"] for r in skewed.groupBy(layout.bucket(place, cuts[column]).alias("b")).count().collect()]
+        assert len(sizes) == 16 and max(sizes) <= 2 * min(sizes)
+
+
+def test_places_follow_the_order_of_values(spark):
+    import datetime as dt
+
+    values = [
+        ("double", [float("-inf"), -1.5, 0.0, 2.0, float("inf")]),
+        ("string", ["", "SKU", "SKU-1", "SKU-10", "SKU-2", "SKV", "\u00e9"]),
+        ("boolean", [False, True]),
+        ("date", [dt.date(1969, 1, 1), dt.date(2026, 1, 1)]),
+        ("timestamp_ntz", [dt.datetime(1969, 1, 1), dt.datetime(2026, 1, 1, 0, 0, 0, 1)]),
+        ("decimal(9,2)", [decimal.Decimal("-1.50"), decimal.Decimal("3.25")]),
+    ]
+    for kind, known in values:
+        df = spark.createDataFrame([(k, v) for k, v in enumerate([*known, None])], f"k int, v {kind}")
+        found = [r.p for r in df.select("k", layout.place_of(df, "v").alias("p")).orderBy("k").collect()]
+        assert found[-1] is None and found[:-1] == sorted(found[:-1]) and (kind == "string" or len(set(found)) == len(found)), kind
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    assert layout.cut_points(nan, {"v": layout.place_of(nan, "v")}, 2) == {"v": [1.0]}
+    none = nan.limit(0)
+    assert layout.cut_points(none, {"v": layout.place_of(none, "v")}, 2) == {"v": []}

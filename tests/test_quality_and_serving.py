@@ -122,3 +122,17 @@ def test_one_decimal_of_large_values(spark, ansi):
     assert [r[0] for r in df.collect()] == [f"{v:.1f}" for v in values[:-2]] + ["10000000000000000000.0", "1" + "0" * 37 + ".0"]
     huge = spark.createDataFrame([(1e300,)], "v double").select(one_decimal(F.col("v"))).first()[0]
     assert float(huge) == 1e300
+
+
+def test_export_reads_a_table_once_and_bounds_its_files(spark, folder, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(6).write.parquet(f"{folder}/t")
+    read, times = s.tables.read, []
+    monkeypatch.setattr(s.tables, "read", lambda *a: (times.append(a[1]), read(*a))[1])
+    written = s.export_metrics(spark, {"t": f"{folder}/t"}, f"{folder}/export", rows_per_file=300)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{written['t']}/*.parquet")]
+    assert times == [f"{folder}/t"] and sum(sizes) == 1000 and max(sizes) <= 300
+    assert rows(spark.read.parquet(written["t"])) == rows(spark.read.parquet(f"{folder}/t"))

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Mapping, Sequence
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeflow.operators import changelog
 from tradeflow.sources import tables
 
 BYTES_PER_FILE = 1 << 30
 BITS = 6
-SAMPLE_ROWS = 100_000
 MAX_Z_COLUMNS = 8
+#: Bytes of a text that count for its place, after those that all texts of the column share.
+PLACE_BYTES = 7
+#: Ranks of cut points are right to a fraction of a range's rows.
+RANK_STEPS_PER_RANGE = 50
 
 
 def compact(
@@ -48,13 +53,13 @@ def cluster(
     """
     df = _plain_table(spark, path)
     names = df.columns
-    rows = df.count()
     files = _files(spark, path, df, rows_per_file, bytes_per_file)
     bits = bits or _bits(files, len(columns))
-    cuts = cut_points(df, columns, rows, bits)
+    places = {c: place_of(df, c) for c in known_columns(df, columns)}
+    cuts = cut_points(df, places, bits)
     # The position within the source file splits a z value, or copies of a row, over several files.
     placed = df.select(
-        *names, z_value([bucket(F.col(c), cuts[c]) for c in columns], bits).alias("_z"),
+        *names, z_value([bucket(place, cuts[c]) for c, place in places.items()], bits).alias("_z"),
         F.col("_metadata.row_index").alias("_position"),
     )
     # Within a z value the columns themselves decide, so a column's values stay together there too.
@@ -91,28 +96,50 @@ def _bits(files: int, columns: int) -> int:
     return max(BITS, min(62 // max(columns, 1), 14, ceil((files.bit_length() + 2) / max(columns, 1))))
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], rows: int, bits: int = BITS) -> dict[str, list]:
-    """Up to ``2**bits - 1`` values that split each column evenly, from a sample of fixed size.
-
-    Only about ``SAMPLE_ROWS`` rows are looked at whatever the table holds; like the bounds of a
-    range shuffle they decide where rows go, never which rows there are.
-    """
+def known_columns(df: DataFrame, columns: Sequence[str]) -> Sequence[str]:
     if not columns or len(columns) > MAX_Z_COLUMNS:
         raise ValueError(f"name between 1 and {MAX_Z_COLUMNS} columns to cluster by")
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in the table: {missing}")
-    seen = df.select(*columns)
-    if rows > SAMPLE_ROWS:
-        seen = seen.sample(SAMPLE_ROWS / rows, seed=7)
-    sampled = seen.collect()
+    return columns
+
+
+def place_of(df: DataFrame, column: str) -> Column:
+    """A number that follows the order of the column's values; NULL for NULL and NaN.
+
+    A text's number is made of its first bytes after those that the least and the greatest text share, and
+    so all texts between them.
+    """
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(value), value)
+    if isinstance(kind, T.NumericType):
+        return value
+    if isinstance(kind, T.BooleanType):
+        return value.cast("int")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp"))
+    coded = F.hex(F.encode(value.cast("string"), "UTF-8"))
+    least, greatest = (c or "" for c in df.agg(F.min(coded), F.max(coded)).first())
+    shared = len(os.path.commonprefix([least, greatest])) // 2 * 2
+    digits = F.rpad(F.substring(coded, shared + 1, 2 * PLACE_BYTES), 2 * PLACE_BYTES, "0")
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
+def cut_points(df: DataFrame, places: Mapping[str, Column], bits: int = BITS) -> dict[str, list]:
+    """Up to ``2**bits - 1`` numbers per column that split its places evenly.
+
+    One aggregate over the whole table makes a quantile summary of every column in the tasks and merges
+    them; only the cut points reach the driver. Like the bounds of a range shuffle they decide where rows
+    go, never which rows there are.
+    """
     wanted = 2**bits
-    cuts = {}
-    for c in columns:
-        known = sorted(row[c] for row in sampled if row[c] is not None and row[c] == row[c])
-        picks = [known[len(known) * i // wanted] for i in range(1, wanted)] if known else []
-        cuts[c] = sorted(set(picks))
-    return cuts
+    shares = F.array(*[F.lit(k / wanted) for k in range(1, wanted)])
+    found = df.agg(*[F.percentile_approx(place, shares, wanted * RANK_STEPS_PER_RANGE).alias(c) for c, place in places.items()]).first()
+    return {c: sorted(set(found[c] or [])) for c in places}
 
 
 def bucket(value: Column, cuts: Sequence) -> Column:

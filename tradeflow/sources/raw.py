@@ -54,6 +54,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
+def file_manifest(rows: DataFrame) -> DataFrame:
+    """One row per source file of a frame that is read from files: path, bytes, modification time, rows, and how many
+    of them were parsed, are corrupt, or hold no value in any column.
+
+    Counts are summed in the tasks that read the files. A file without rows is not listed. Whether a line is
+    corrupt depends on all its columns, so all are read.
+    """
+    corrupt = F.col(schemas.CORRUPT).isNotNull()
+    values = [F.col(c).isNotNull().cast("int") for c in rows.columns if c != schemas.CORRUPT]
+    place = {"path": "file_path", "bytes": "file_size", "modified_at": "file_modification_time"}
+    return (
+        rows.select(
+            *[F.col(f"_metadata.{field}").alias(name) for name, field in place.items()],
+            corrupt.alias("_corrupt"),
+            (F.greatest(*values, F.lit(0)) == 0).alias("_blank"),
+        )
+        .groupBy(*place)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(~F.col("_corrupt")).alias("parsed_rows"),
+            F.count_if("_corrupt").alias("corrupt_rows"),
+            F.count_if("_blank").alias("blank_rows"),
+        )
+    )
+
+
 def ingest_orders(
     spark: SparkSession, source_path: str, output_path: str, per_file: bool = False
 ) -> DataFrame:
