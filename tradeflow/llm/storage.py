@@ -16,7 +16,7 @@ class Store:
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark = spark
+        self.spark = small_batches(spark)
         self.base = shared_folder(spark)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -45,5 +45,19 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Bytes of a batch that Spark hands to Python, at most; one longer row is a batch of its own.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand texts to Python a few megabytes at a time: a batch is held twice on either side of the pipe.
+
+    The setting stays; it bounds memory and changes no result.
+    """
+    spark.conf.set(*BATCH_BYTES)
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -18,7 +18,9 @@ from tradeflow.llm import text_arrays as ta
 
 TOKENIZER = "byte_bpe_50k.json"
 BATCH_BYTES = 1 << 20
+#: Pieces that a worker remembers, 32 bytes each besides their ids, and text that it looks at together.
 REMEMBERED = 500_000
+BLOCK_BYTES = 1 << 19
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -48,6 +50,8 @@ def safe_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes Arrow text columns; keeps the ids of the pieces it has met, up to a bound."""
 
+    remembered = REMEMBERED
+
     def __init__(self, path: str):
         import os
 
@@ -63,7 +67,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        # Known pieces in order of their hash, and the slot of each.
+        self.hashes, self.slot_of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 18, np.uint32)
@@ -71,7 +76,7 @@ class Encoder:
 
     def row_ids(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per block of rows: ids of all its rows, and where each row's ids start and the last end."""
-        for start, end in ta.blocks(column):
+        for start, end in ta.blocks(column, BLOCK_BYTES):
             slots, chunk_rows = self._pieces(column.slice(start, end - start))
             lengths = self.lengths[slots]
             ends = np.cumsum(lengths)
@@ -82,34 +87,43 @@ class Encoder:
     def counts(self, column: pa.Array) -> np.ndarray:
         """Number of ids per row, without making the ids."""
         out = [np.zeros(0, np.int64)]
-        for start, end in ta.blocks(column):
+        for start, end in ta.blocks(column, BLOCK_BYTES):
             slots, chunk_rows = self._pieces(column.slice(start, end - start))
             out.append(np.diff(np.concatenate([[0], np.cumsum(self.lengths[slots])])[chunk_rows]))
         return np.concatenate(out)
 
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes that are encoded, and starts and ends of the pieces."""
+        starts = safe_cuts(data, offsets)
+        return data, starts, np.concatenate([starts[1:], [len(data)]]).astype(np.int64)[: len(starts)]
+
     def _pieces(self, rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A slot per piece, and for each row's start the number of pieces before it."""
         data, offsets = ta.bytes_of(rows)
-        starts = safe_cuts(data, offsets)
-        ends = np.concatenate([starts[1:], [len(data)]]).astype(np.int64)[: len(starts)]
-        hashes, first, inverse = np.unique(ta.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slots) + len(hashes) > REMEMBERED:
+        data, starts, ends = self._cut(data, offsets)
+        named = ta.span_hashes(data, starts, ends)
+        if len(self.hashes) + len(named) > self.remembered:
             self.forget()
-        names = hashes.tolist()
-        known = np.fromiter((self.slots.get(h, -1) for h in names), np.int64, len(names))
-        new = np.flatnonzero(known < 0)
-        known[new] = self._learn(data, starts[first[new]], ends[first[new]], [names[i] for i in new])
-        return known[inverse], np.searchsorted(starts, offsets)
-
-    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, names: list[int]) -> np.ndarray:
+        unknown = np.flatnonzero(self._found(named)[1])
+        if len(unknown):
+            new, first = np.unique(named[unknown], return_index=True)
+            place = unknown[first]
+            slots = np.arange(len(self.hashes), len(self.hashes) + len(new))
+            while slots[-1] >= len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self._learn(data, starts[place], ends[place], slots)
+            at = np.searchsorted(self.hashes, new)
+            self.hashes, self.slot_of = np.insert(self.hashes, at, new), np.insert(self.slot_of, at, slots)
+        return self.slot_of[self._found(named)[0]], np.searchsorted(starts, offsets)
+
+    def _found(self, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash stands among the known ones, and whether it is new."""
+        at = np.minimum(np.searchsorted(self.hashes, named), max(len(self.hashes) - 1, 0))
+        return at, self.hashes[at] != named if len(self.hashes) else np.ones(len(named), bool)
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> None:
         """Encode new pieces: joined where their bounds are safe cuts, one by one elsewhere."""
-        slots = np.arange(len(self.slots), len(self.slots) + len(names))
-        self.slots.update(zip(names, slots.tolist()))
-        if not len(names):
-            return slots
-        while slots[-1] >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
         # Before the next piece's white space there must be a character that is none.
         joined = ta.is_space(data[starts]) & (data[ends - 1] > 32)
         for back, leads in ((2, (0xC2,)), (3, (0xE1, 0xE2, 0xE3))):
@@ -119,10 +133,7 @@ class Encoder:
             self._learn_joined(data, starts[group], (ends - starts)[group], slots[group])
         for group in self._batches(alone, ends - starts):
             texts = [data[starts[k] : ends[k]].tobytes().decode("utf-8") for k in group.tolist()]
-            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            counts = np.array([len(e.ids) for e in encoded], np.int64)
-            self._store(slots[group], counts, np.array([i for e in encoded for i in e.ids], np.uint32))
-        return slots
+            self._store_each(slots[group], self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
     @staticmethod
     def _batches(rows: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -141,6 +152,11 @@ class Encoder:
             raise ValueError("a token crosses the bounds of a piece")
         self._store(slots, np.diff(until, prepend=0), ids)
 
+    def _store_each(self, slots: np.ndarray, encoded: list) -> None:
+        ids = [e.ids for e in encoded]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._store(slots, counts, np.fromiter((i for own in ids for i in own), np.uint32, int(counts.sum())))
+
     def _store(self, slots: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])

@@ -9,12 +9,12 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 
 from tradeflow.llm import text_arrays as ta
 from tradeflow.llm.tokens import Encoder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+#: Words that a worker remembers: more than an ``Encoder``, as each costs more to encode.
 REMEMBERED = 2_000_000
 MARKS = np.frombuffer(b".,;:!?", np.uint8)
 
@@ -49,49 +49,18 @@ def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class WordEncoder(Encoder):
-    """An ``Encoder`` whose pieces are words; new ones pass through the tokenizer one by one, in batches of bounded bytes.
+    """An ``Encoder`` whose pieces are words; new ones pass through the tokenizer one by one, in batches of bounded bytes."""
 
-    Known pieces are two arrays in order of hash, so ``REMEMBERED`` of them take about 100 MB with their ids.
-    """
-
-    def forget(self) -> None:
-        super().forget()
-        self.hashes = np.zeros(0, np.uint64)
-        self.slot_of = np.zeros(0, np.int64)
+    remembered = REMEMBERED
 
-    def _pieces(self, rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, offsets = ta.bytes_of(rows)
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data = lowered(data)
-        starts, ends = word_pieces(data, offsets)
-        named = ta.span_hashes(data, starts, ends)
-        if len(self.hashes) + len(named) > REMEMBERED:
-            self.forget()
-        unknown = np.flatnonzero(self._found(named)[1])
-        if len(unknown):
-            new, first = np.unique(named[unknown], return_index=True)
-            place = unknown[first]
-            slots = self._learn(data, starts[place], ends[place])
-            at = np.searchsorted(self.hashes, new)
-            self.hashes, self.slot_of = np.insert(self.hashes, at, new), np.insert(self.slot_of, at, slots)
-        return self.slot_of[self._found(named)[0]], np.searchsorted(starts, offsets)
-
-    def _found(self, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each hash stands among the known ones, and whether it is new."""
-        at = np.minimum(np.searchsorted(self.hashes, named), max(len(self.hashes) - 1, 0))
-        return at, self.hashes[at] != named if len(self.hashes) else np.ones(len(named), bool)
-
-    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        slots = np.arange(len(self.hashes), len(self.hashes) + len(starts))
-        while slots[-1] >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        return data, *word_pieces(data, offsets)
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> None:
         for group in self._batches(np.arange(len(slots)), ends - starts):
             texts = [data[a:b].tobytes().decode("utf-8") for a, b in zip(starts[group].tolist(), ends[group].tolist())]
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(counts.sum()))
-            self._store(slots[group], counts, flat)
-        return slots
+            self._store_each(slots[group], self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
 
 @lru_cache(maxsize=2)
