@@ -20,8 +20,11 @@ TREES = 3
 LEAF = 64
 BLOCK = 256
 LEVELS = 6
-STEPS = 8
 SETTLED = 0.03
+#: Most neighbours of a list. Centres with more links than that are compared exactly, in regions around pivots.
+LONGEST = 64
+PIVOTS = 64
+SIDE = 1024
 AUDITED = 64
 LEAST_RECALL = 0.99
 AUDITS = 3
@@ -39,8 +42,10 @@ def link_embeddings(embeddings: DataFrame, store: Store, least: float = LEAST_CO
     NN-descent then builds the neighbour graph of the centres: lists start from random partitions, every
     centre introduces its neighbours to each other, and lists that are full of links are enlarged until
     their last entry is none. Edges within reach of the threshold are kept; where two centres' vectors
-    may or may not be linked, they are compared in blocks. A sample of vectors is audited against all
-    rows, and the descent is repeated from other partitions while recall is below ``LEAST_RECALL``.
+    may or may not be linked, they are compared in blocks. The vectors of centres whose list is still full
+    of links at ``LONGEST`` entries are compared exactly with all that can be linked with them (``crowd_links``).
+    A sample of vectors is audited against all rows; the descent is repeated from other partitions while
+    recall is below ``LEAST_RECALL``, and after ``AUDITS`` times a recall below it is an error.
 
     A vector that is null, empty, zero, or holds null, NaN or infinity has no links and is its own
     component. Vectors of different length have no cosine and are not linked. Equal rows are vectors of
@@ -50,14 +55,17 @@ def link_embeddings(embeddings: DataFrame, store: Store, least: float = LEAST_CO
     rows = store.keep(rows.withColumn("uid", F.monotonically_increasing_id()), "link-vectors")
     vectors = rows.filter(F.col("v").isNotNull()).select("uid", "v")
     members, centres = contract(vectors, store, least)
-    edges, links, counts, recall = None, None, None, 1.0
+    edges = crowded = None
     for turn in range(1, AUDITS + 1):
-        fresh = descend(centres, store, least, turn)
+        fresh, full = descend(centres, store, least, turn)
         edges = fresh if edges is None else store.keep(edges.union(fresh).distinct(), f"link-edges-{turn}")
-        links, counts = _resolve(edges, centres, members, vectors, store, least, turn)
+        crowded = full if crowded is None else store.keep(crowded.union(full).distinct(), f"link-crowded-{turn}")
+        links, counts = _resolve(edges, crowded, centres, members, vectors, store, least, turn)
         recall = _audit(vectors, counts, least)
         if recall >= LEAST_RECALL:
             break
+    else:
+        raise RuntimeError(f"only {recall:.4f} of the audited links were found in {AUDITS} descents")
     found = components(links.select("u", "v"), store, "link-components")
     placed = members.join(found, members["centre"] == found["node"], "left").select(
         "uid", F.coalesce("component", "centre").alias("_group")
@@ -114,7 +122,9 @@ def in_blocks(vectors: DataFrame, seed: int, rows: int) -> DataFrame:
     celled = vectors.withColumn("cell", F.arrow_udf(_cell(seed, bits), "long")("v"))
     parts = celled.groupBy(F.col("cell").alias("_cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_parts"))
     part = F.pmod(F.xxhash64("uid", F.lit(seed)), F.col("_parts"))
-    return celled.join(parts, F.col("cell") == F.col("_cell")).withColumn("part", part).drop("_cell", "_parts")
+    placed = celled.join(parts, F.col("cell") == F.col("_cell")).withColumn("part", part).drop("_cell", "_parts")
+    # The parts of a large cell go to different tasks.
+    return placed.repartition("cell", "part")
 
 
 def contract(vectors: DataFrame, store: Store, least: float) -> tuple[DataFrame, DataFrame]:
@@ -159,8 +169,9 @@ def contract(vectors: DataFrame, store: Store, least: float) -> tuple[DataFrame,
     return members, centres
 
 
-def descend(centres: DataFrame, store: Store, least: float, turn: int) -> DataFrame:
-    """Pairs of centres (u, w, cosine) that may hold links, from the neighbour graph NN-descent finds."""
+def descend(centres: DataFrame, store: Store, least: float, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of centres (u, w, cosine) that may hold links, from the neighbour graph NN-descent finds, and the
+    centres (uid) whose list is too short for them."""
     rows = centres.count()
     widest = centres.agg(F.coalesce(F.max("radius"), F.lit(0.0))).first()[0]
     reach = cos(min(np.pi, acos(least) + 2 * widest + SLACK))
@@ -171,8 +182,10 @@ def descend(centres: DataFrame, store: Store, least: float, turn: int) -> DataFr
         first = in_blocks(items, 1000 * turn + tree, rows).groupBy("cell", "part").applyInArrow(_nearest_in_block, "u long, w long, cosine double")
         graph = first if graph is None else graph.union(first)
     graph = store.keep(_trimmed(graph, limits), f"link-graph-{turn}-0")
-    for step in range(1, STEPS + 1):
-        # Full lists whose last entry may still hold links get twice the room.
+    step = 0
+    while True:
+        step += 1
+        # Full lists whose last entry may still hold links get twice the room, up to the longest.
         full = graph.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("last"))
         room = limits.join(full, limits["uid"] == full["u"], "left").select(
             "uid",
@@ -181,17 +194,20 @@ def descend(centres: DataFrame, store: Store, least: float, turn: int) -> DataFr
             F.when(F.col("n") >= F.col("limit"), F.col("last")).otherwise(-2.0).alias("last"),
         )
         room = store.keep(room, f"link-room-{turn}-{step}")
-        saturated = not room.filter("saturated").isEmpty()
-        limits = room.select("uid", F.when(F.col("saturated"), F.col("limit") * 2).otherwise(F.col("limit")).alias("limit"))
-        bar = F.when(F.col("saturated"), F.lit(-2.0)).otherwise(F.col("last")).alias("bar")
+        grows = F.col("saturated") & (F.col("limit") < LONGEST)
+        growing = not room.filter(grows).isEmpty()
+        limits = room.select("uid", F.when(grows, F.col("limit") * 2).otherwise(F.col("limit")).alias("limit"))
+        bar = F.when(grows, F.lit(-2.0)).otherwise(F.col("last")).alias("bar")
         introduced = _introduce(graph, items.join(room.select("uid", bar), "uid"), rows)
         introduced = store.keep(introduced.join(graph.select("u", "w"), ["u", "w"], "left_anti").distinct(), f"link-met-{turn}-{step}")
         met = introduced.count()
         graph = store.keep(_trimmed(graph.union(introduced.select("u", "w", "cosine")), limits), f"link-graph-{turn}-{step}")
-        if not saturated and met <= SETTLED * NEIGHBOURS * rows:
+        if not growing and met <= SETTLED * NEIGHBOURS * rows:
             break
     near = graph.filter(F.col("cosine") >= reach)
-    return store.keep(near.select(F.least("u", "w").alias("u"), F.greatest("u", "w").alias("w"), "cosine").dropDuplicates(["u", "w"]), f"link-near-{turn}")
+    crowded = store.keep(near.groupBy(F.col("u").alias("uid")).count().filter(F.col("count") >= LONGEST).select("uid"), f"link-full-{turn}")
+    near = store.keep(near.select(F.least("u", "w").alias("u"), F.greatest("u", "w").alias("w"), "cosine").dropDuplicates(["u", "w"]), f"link-near-{turn}")
+    return near, crowded
 
 
 def _trimmed(graph: DataFrame, limits: DataFrame) -> DataFrame:
@@ -260,10 +276,115 @@ def _by_length(v: list[np.ndarray] | np.ndarray, own: np.ndarray) -> Iterator[np
         yield own[sizes == size]
 
 
+def crowd_links(crowd: DataFrame, vectors: DataFrame, store: Store, least: float, turn: int) -> DataFrame:
+    """(uid, n, to): the links between the vectors of ``crowd`` (uid) and all ``vectors``, counted exactly.
+
+    Every vector of the crowd belongs to the region of its nearest pivot, out of a bounded sample of the crowd.
+    A vector that is linked with one of a region is no further from the pivot than the region's radius and the
+    link angle, so those that are further are left out for certain. A region is compared in blocks of bounded
+    size. No pairs leave a block: per vector of the crowd the number of its links with others there, per other
+    vector the number of its links with the crowd, and the smallest vector that links in the block lead to.
+    """
+    marked = vectors.join(crowd.withColumn("crowded", F.lit(True)), "uid", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    marked = store.keep(marked, f"link-marked-{turn}")
+    sample = marked.filter("crowded").orderBy(F.xxhash64("uid")).limit(PIVOTS).collect()
+    sizes = {len(r["v"]) for r in sample}
+    pivots = {size: np.array([r["v"] for r in sample if len(r["v"]) == size]) for size in sizes}
+
+    def angles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, rows, angles to the pivots of that length); without pivots all are at 0 from one region."""
+        lengths = np.asarray(pa.compute.list_value_length(column))
+        for size in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == size)
+            v = _matrix(column.take(pa.array(own)))
+            near = np.arccos(np.clip(v @ pivots[size].T, -1.0, 1.0)) if size in pivots else np.zeros((len(own), 1))
+            yield size, own, near
+
+    @F.arrow_udf("size int, pivot int, angle double")
+    def nearest(column: pa.Array) -> pa.Array:
+        out = np.zeros((3, len(column)))
+        for size, own, near in angles(column):
+            out[0, own], out[1, own], out[2, own] = size, near.argmin(axis=1), near.min(axis=1)
+        return pa.StructArray.from_arrays([pa.array(out[0].astype(np.int32)), pa.array(out[1].astype(np.int32)), pa.array(out[2])], ["size", "pivot", "angle"])
+
+    placed = marked.filter("crowded").select("uid", "v", nearest("v").alias("r")).select("uid", "v", "r.*")
+    placed = store.keep(placed, f"link-regions-{turn}")
+    # At most PIVOTS regions, and one per length of vectors without a pivot.
+    radius = {(r["size"], r["pivot"]): r["radius"] for r in placed.groupBy("size", "pivot").agg(F.max("angle").alias("radius")).collect()}
+    reach = acos(least) + 2 * SLACK
+
+    @F.arrow_udf("array<struct<size: int, pivot: int>>")
+    def regions(column: pa.Array) -> pa.Array:
+        found: list[list[dict[str, int]]] = [[] for _ in range(len(column))]
+        for size, own, near in angles(column):
+            for pivot in range(near.shape[1]):
+                if (size, pivot) in radius:
+                    for k in own[near[:, pivot] <= radius[size, pivot] + reach].tolist():
+                        found[k].append({"size": size, "pivot": pivot})
+        return pa.array(found, pa.list_(pa.struct([("size", pa.int32()), ("pivot", pa.int32())])))
+
+    around = marked.select("uid", "v", "crowded", F.explode(regions("v")).alias("r")).select("uid", "v", "crowded", "r.*")
+    around = store.keep(around, f"link-around-{turn}")
+    parts = lambda df, name: df.groupBy("size", "pivot").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias(name))
+    shape = F.broadcast(parts(placed, "inner").join(parts(around, "outer"), ["size", "pivot"]))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("uid"), n).cast("int")
+    left = placed.join(shape, ["size", "pivot"]).select("size", "pivot", "uid", "v", F.lit(True).alias("crowded"), F.lit(True).alias("left"), dealt("inner").alias("p"), all_of("outer").alias("t"))
+    right = around.join(shape, ["size", "pivot"]).select("size", "pivot", "uid", "v", "crowded", F.lit(False).alias("left"), dealt("outer").alias("t"), all_of("inner").alias("p"))
+    done = left.unionByName(right).groupBy("size", "pivot", "p", "t").applyInArrow(_crowd_block(least), "uid long, n long, to long")
+    return store.keep(done, f"link-crowd-{turn}")
+
+
+def _crowd_block(least: float):
+    def count(block: pa.Table) -> pa.Table:
+        side, crowded = np.asarray(block["left"]), np.asarray(block["crowded"])
+        ids, v = block["uid"].to_numpy(), _matrix(block["v"])
+        a, b, others = ids[side], ids[~side], ~crowded[~side]
+        linked = (v[side] @ v[~side].T >= least) & (a[:, None] != b[None, :])
+        every, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        # The smallest number reachable within the block, by passing smaller ones along until none moves.
+        to, pairs = np.arange(len(every)), np.nonzero(linked)
+        x, y = at[: len(a)][pairs[0]], at[len(a) :][pairs[1]]
+        while True:
+            low = to.copy()
+            np.minimum.at(low, x, to[y])
+            np.minimum.at(low, y, to[x])
+            low = low[low]
+            if np.array_equal(low, to):
+                break
+            to = low
+        uid = np.concatenate([a, b[others]])
+        n = np.concatenate([linked.sum(axis=1), linked[:, others].sum(axis=0)])
+        return pa.table({"uid": np.concatenate([uid, b[~others]]), "n": np.concatenate([n, np.zeros((~others).sum(), np.int64)]), "to": every[to[np.concatenate([at[: len(a)], at[len(a) :][others], at[len(a) :][~others]])]]})
+
+    return count
+
+
 def _resolve(
-    edges: DataFrame, centres: DataFrame, members: DataFrame, vectors: DataFrame, store: Store, least: float, turn: int
+    edges: DataFrame, crowded: DataFrame, centres: DataFrame, members: DataFrame, vectors: DataFrame, store: Store, least: float, turn: int
 ) -> tuple[DataFrame, DataFrame]:
     """Linked pairs of centres (u, v), and (uid, n_links) of every vector."""
+    if crowded.isEmpty():
+        return _resolve_edges(edges, centres, members, vectors, store, least, turn)
+    # Whatever touches a crowded centre is counted exactly, so edges of such a centre are left to that.
+    crowd = members.join(crowded.withColumnRenamed("uid", "centre"), "centre", "left_semi").select("uid")
+    crowd = store.keep(crowd, f"link-crowd-uids-{turn}")
+    found = crowd_links(crowd, vectors, store, least, turn)
+    for end in ("u", "w"):
+        edges = edges.join(crowded.withColumnRenamed("uid", end), end, "left_anti")
+    links, counts = _resolve_edges(edges.select("u", "w", "cosine"), centres, members, vectors, store, least, turn)
+    exact = found.groupBy("uid").agg(F.sum("n").alias("exact")).join(crowd.withColumn("inside", F.lit(True)), "uid", "left")
+    total = F.when(F.col("inside"), F.col("exact")).otherwise(F.col("n_links") + F.coalesce("exact", F.lit(0)))
+    counts = store.keep(counts.join(exact, "uid", "left").select("uid", total.alias("n_links")), f"link-all-counts-{turn}")
+    ends = found.filter("uid <> to").select("uid", "to").distinct()
+    a, b = members.select("uid", F.col("centre").alias("u")), members.select(F.col("uid").alias("to"), F.col("centre").alias("v"))
+    joined = ends.join(a, "uid").join(b, "to").select("u", "v").filter("u <> v")
+    return store.keep(links.unionByName(joined).distinct(), f"link-all-links-{turn}"), counts
+
+
+def _resolve_edges(
+    edges: DataFrame, centres: DataFrame, members: DataFrame, vectors: DataFrame, store: Store, least: float, turn: int
+) -> tuple[DataFrame, DataFrame]:
     a = centres.select(F.col("uid").alias("u"), F.col("radius").alias("ru"), F.col("members").alias("nu"))
     b = centres.select(F.col("uid").alias("w"), F.col("radius").alias("rw"), F.col("members").alias("nw"))
     spread = F.col("ru") + F.col("rw")
