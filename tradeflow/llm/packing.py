@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
@@ -58,8 +59,8 @@ def pack_documents(docs: DataFrame, store: Store, capacity: int = CAPACITY, toke
 
     The plan is made for numbers of pieces per length, at most ``capacity`` of them, which is all that
     reaches the driver: for each length, longest first, one, two or three other lengths that fill the
-    rest of a sequence exactly are consumed as long as there are any; what remains is placed best-fit,
-    longest first. Each piece then finds its place by its length and its rank among the pieces of that
+    rest of a sequence exactly are found by their sum in an index (``Sums``) and consumed as long as there
+    are any; what remains is placed best-fit, longest first. Each piece then finds its place by its length and its rank among the pieces of that
     length; ranks come from running totals over ranges, so a length may have any number of pieces.
 
     A null or empty text is one piece of length 1. Equal rows are packed each. An empty table gives no
@@ -85,6 +86,55 @@ def pack_documents(docs: DataFrame, store: Store, capacity: int = CAPACITY, toke
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "_place.*")
 
 
+class Sums:
+    """Sums of one, two and three lengths that are still there, looked up by the gap that they fill exactly.
+
+    Pairs stand in a hash table by their sum, entered when the sum is first asked for; a triple is a length and
+    a pair with the rest of the sum. Numbers of pieces only fall, so a pair of which a length has run out
+    never comes back and leaves the table when it is met.
+    """
+
+    def __init__(self, left: list[int]):
+        self.left = left
+        self.larger: dict[int, list[int]] = {}
+
+    def singles(self, gap: int) -> Iterator[tuple[int, ...]]:
+        if gap > 0 and self.left[gap]:
+            yield (gap,)
+
+    def pairs(self, gap: int, most: int | None = None) -> Iterator[tuple[int, ...]]:
+        """The larger part first, from the largest down to half the sum; none larger than ``most``."""
+        own = self.larger.get(gap)
+        if own is None:
+            own = self.larger[gap] = self._pairs_of(gap)
+        at = len(own) if most is None else bisect_right(own, most)
+        while at > 0:
+            at -= 1
+            first = own[at]
+            if self.left[first] and self.left[gap - first]:
+                yield first, gap - first
+                at = min(at, len(own))
+            else:
+                del own[at]
+
+    def _pairs_of(self, gap: int) -> list[int]:
+        if gap < 2:
+            return []
+        present = np.array(self.left[: gap]) > 0
+        both = present[1:gap] & present[gap - 1 : 0 : -1]
+        starts = np.flatnonzero(both) + 1
+        return starts[starts >= -(-gap // 2)].tolist()
+
+    def triples(self, gap: int, most: int) -> Iterator[tuple[int, ...]]:
+        """The largest part first, none larger than ``most``."""
+        for first in range(min(most, gap - 2), 0, -1):
+            if self.left[first]:
+                for pair in self.pairs(gap - first, first):
+                    yield first, *pair
+                    if not self.left[first]:
+                        break
+
+
 def plan(counts: Sequence[int], capacity: int = CAPACITY) -> list[Pattern]:
     """Sequences as (lengths, how many such sequences) for ``counts[length]`` pieces of each length.
 
@@ -93,6 +143,7 @@ def plan(counts: Sequence[int], capacity: int = CAPACITY) -> list[Pattern]:
     """
     left = list(counts)
     patterns: list[Pattern] = []
+    sums = Sums(left)
 
     def consume(lengths: tuple[int, ...]) -> None:
         times = min(left[size] // n for size, n in Counter(lengths).items())
@@ -102,37 +153,16 @@ def plan(counts: Sequence[int], capacity: int = CAPACITY) -> list[Pattern]:
                 left[size] -= times
 
     consume((capacity,))
-    sizes = range(capacity - 1, 0, -1)
-    for size in sizes:
-        consume((size, capacity - size))
-    for size in (s for s in sizes if left[s]):
-        for first in _pair_starts(np.array(left) > 0, capacity - size):
-            consume((size, first, capacity - size - first))
-            if not left[size]:
-                break
-    for size in (s for s in sizes if left[s]):
-        gap = capacity - size
-        for first in range(min(size, gap - 2), 0, -1):
-            if not left[size]:
-                break
-            if left[first]:
-                for second in _pair_starts(np.array(left) > 0, gap - first):
-                    if second <= first:
-                        consume((size, first, second, gap - first - second))
-                    if not left[size] or not left[first]:
+    for fillings in (sums.singles, sums.pairs, lambda gap: sums.triples(gap, capacity - gap)):
+        for size in range(capacity - 1, 0, -1):
+            if left[size]:
+                for lengths in fillings(capacity - size):
+                    consume((size, *lengths))
+                    if not left[size]:
                         break
     return patterns + _best_fit(left, capacity)
 
 
-def _pair_starts(present: np.ndarray, total: int) -> list[int]:
-    """The larger part of every pair of present lengths that sums to ``total``, largest first."""
-    if total < 2:
-        return []
-    both = present[1:total] & present[total - 1 : 0 : -1]
-    starts = np.flatnonzero(both) + 1
-    return starts[starts >= -(-total // 2)][::-1].tolist()
-
-
 def _best_fit(left: Sequence[int], capacity: int) -> list[Pattern]:
     """Longest first into the sequences with the least room that suffices, many equal ones at a time."""
     by_room: dict[int, list[Pattern]] = defaultdict(list)
