@@ -9,13 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tradeflow.llm.embedding_links import link_embeddings
-from tradeflow.llm.language import identify_languages
+from tradeflow.llm.language import identify_languages, learn_dictionaries
 from tradeflow.llm.licenses import scan_licenses
 from tradeflow.llm.mixing import mix_sources, mixed_documents
 from tradeflow.llm.near_duplicates import distinct_documents, near_duplicate_classes
 from tradeflow.llm.quality import judge_quality
 from tradeflow.llm.sharding import shard_by_bytes
-from tradeflow.llm.url_filter import judge_urls
+from tradeflow.llm.url_filter import judge_urls, propagate
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -162,6 +162,33 @@ def test_urls_follow_rules_and_links(spark, checkpoint_store):
     assert (got[7].host, got[7].path, got[7].verdict) == ("", "", "allow") and got[9].host == "shop.com"
 
 
+def test_trust_on_cycles_converges_whatever_the_number_of_seeds(spark, checkpoint_store):
+    """Rings of three and a ring of many with a shortcut, solved exactly by linear algebra."""
+    names = [f"h{k}" for k in range(40)]
+    links = [(a, b) for k in range(0, 30, 3) for a, b in ((k, k + 1), (k + 1, k + 2), (k + 2, k))]
+    links += [(k, 30 + (k - 29) % 10) for k in range(30, 40)] + [(30, 35), (0, 30)]
+    seeds = [float(k % 4 == 0) for k in range(40)]
+    step = np.zeros((40, 40))
+    for a, b in links:
+        step[b, a] = 0.85 / sum(a == x for x, _ in links)
+    exact = np.linalg.solve(np.eye(40) - step, seeds)
+    for scale in (1.0, 1e6):
+        frame = spark.createDataFrame([(n, s * scale) for n, s in zip(names, seeds)], "host string, seed double")
+        edges = spark.createDataFrame([(names[a], names[b]) for a, b in links], "src string, dst string")
+        got = {r.host: r.score for r in propagate(frame, edges, checkpoint_store, f"ring-{scale:.0f}").collect()}
+        assert max(abs(got[n] / scale - e) for n, e in zip(names, exact)) <= 1e-5 * sum(seeds)
+
+
+def test_a_language_without_letters_is_not_learned(spark):
+    rows = [(k, "the cat and the dog" if k % 2 else "der hund und die katze", "en" if k % 2 else "de") for k in range(60)]
+    rows += [(100 + k, "123 456", "zz") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(learn_dictionaries(docs)) == {"en", "de"}
+    got = {r.doc_id: r.lang_pred for r in identify_languages(docs).collect()}
+    assert all(got[k] == "und" for k in range(100, 160)) and got[1] == "en" and got[2] == "de"
+    assert learn_dictionaries(docs.filter("lang = 'zz'")) == {} and learn_dictionaries(docs.withColumn("lang", F.lit(None).cast("string"))) == {}
+
+
 def test_embedding_links(spark, checkpoint_store):
     draw = np.random.default_rng(1)
     base = draw.standard_normal((60, 16))

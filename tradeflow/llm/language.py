@@ -37,7 +37,8 @@ def learn_dictionaries(docs: DataFrame, most: int = DICTIONARY_BYTES) -> dict[st
     text = letters(F.substring("text", 1, TRAINING_CHARS))
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.filter(~held_out(F.col("doc_id"))).select("lang", F.xxhash64("doc_id").alias("turn"), text.alias("text"))
-    totals = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    # A language without letters in any document has nothing to learn, and no rate could bound its sample.
+    totals = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).filter("bytes > 0")
     coin = F.pmod("turn", F.lit(1 << 32)) / float(1 << 32)
     drawn = usable.join(F.broadcast(totals), "lang").filter(coin * F.col("bytes") < 4 * most)
     sample: dict[str, list[bytes]] = {}
