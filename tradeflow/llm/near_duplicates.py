@@ -110,6 +110,7 @@ def _matrix(signatures: pa.Array) -> np.ndarray:
 def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         yield sketch(ta.as_large(batch))
+    ta.give_back()
 
 
 def _text_name(words: ta.Words) -> np.ndarray:
@@ -129,6 +130,7 @@ def _named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             names.append(_text_name(ta.Words(column.slice(start, end - start))))
         keys = np.concatenate(names, axis=1).view(np.int64)
         yield pa.StructArray.from_arrays([pa.array(k) for k in keys], ["key_1", "key_2"])
+    ta.give_back()
 
 
 def _shingle_set(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -145,6 +147,7 @@ def _shingle_set(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         grams = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
         keys = np.concatenate(names, axis=1).view(np.int64)
         yield pa.StructArray.from_arrays([grams, *[pa.array(k) for k in keys]], ["grams", "key_1", "key_2"])
+    ta.give_back()
 
 
 KEYS = ["key_1", "key_2"]
@@ -219,12 +222,12 @@ def _bucket_members(texts: DataFrame, store: Store) -> DataFrame:
 def _shingles_of(docs: DataFrame, members: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
     """(id, grams): the shingles of every text that shares a bucket."""
     wanted = members.select(F.col("doc_id").alias("id")).distinct().join(texts.select("id", "doc_id", *KEYS), "id")
-    wanted = store.keep(wanted.select("id", F.col("doc_id").alias("_doc"), *[F.col(k).alias(f"_{k}") for k in KEYS]), "near-wanted")
-    found = docs.select("doc_id", "text").join(wanted.select("_doc").distinct(), F.col("doc_id") == F.col("_doc"), "left_semi")
-    made = found.select("doc_id", F.arrow_udf(_shingle_set, "grams array<long>, key_1 long, key_2 long")("text").alias("s")).select("doc_id", "s.*")
-    same = (F.col("doc_id") == F.col("_doc")) & (F.col("key_1") == F.col("_key_1")) & (F.col("key_2") == F.col("_key_2"))
-    # Equal rows have equal shingles: one of them counts.
-    return store.keep(made.join(wanted, same).groupBy("id").agg(F.first("grams").alias("grams")), "near-shingles")
+    wanted = store.keep(wanted.select("id", "doc_id", *[F.col(k).alias(f"_{k}") for k in KEYS]), "near-wanted")
+    found = docs.select("doc_id", "text").join(wanted, "doc_id")
+    made = found.select("doc_id", "id", *[f"_{k}" for k in KEYS], F.arrow_udf(_shingle_set, "grams array<long>, key_1 long, key_2 long")("text").alias("s"))
+    own = made.filter((F.col("s.key_1") == F.col("_key_1")) & (F.col("s.key_2") == F.col("_key_2")))
+    # Equal rows have equal shingles: one of them counts. They stand together already, as the join dealt them by doc_id.
+    return store.keep(own.groupBy("doc_id", "id").agg(F.first("s.grams").alias("grams")).select("id", "grams"), "near-shingles")
 
 
 def _link(members: DataFrame, texts: DataFrame, grams: DataFrame, store: Store, least: float) -> DataFrame:
