@@ -50,6 +50,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None =
             fields = [pa.array(table[:, 0], pa.int32()), *[pa.array(table[:, k], pa.int64()) for k in (1, 2, 3)]]
             values = pa.StructArray.from_arrays(fields, ["piece", "start", "length", "ids_crc32"])
             yield pa.ListArray.from_arrays(pa.array(per_row, pa.int32()), values)
+        ta.give_back()
 
     return docs.select("doc_id", F.explode(cut("text")).alias("_piece")).select("doc_id", "_piece.*")
 

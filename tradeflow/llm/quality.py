@@ -85,14 +85,14 @@ class BucketCounts:
         self.waiting = 0
 
     def add(self, bucket: np.ndarray, known: np.ndarray) -> None:
-        self.parts.append(_summed(np.stack([bucket, np.ones_like(bucket), known.astype(np.int64)])))
+        self.parts.append(_summed(np.stack([bucket, np.ones_like(bucket), known]).astype(np.uint32)))
         self.waiting += self.parts[-1].shape[1]
         if len(self.parts) > 1 and self.waiting > max(MERGED, 2 * self.parts[0].shape[1]):
             self.merge()
 
     def merge(self) -> np.ndarray:
         if len(self.parts) != 1:
-            self.parts = [_summed(np.concatenate(self.parts, axis=1))] if self.parts else [np.zeros((3, 0), np.int64)]
+            self.parts = [_summed(np.concatenate(self.parts, axis=1))] if self.parts else [np.zeros((3, 0), np.uint32)]
         self.waiting = self.parts[0].shape[1]
         return self.parts[0]
 
@@ -103,7 +103,7 @@ def _summed(rows: np.ndarray) -> np.ndarray:
         return rows
     rows = rows[:, np.argsort(rows[0], kind="stable")]
     first = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
-    return np.concatenate([rows[:1, first], np.add.reduceat(rows[1:], first, axis=1)])
+    return np.concatenate([rows[:1, first], np.add.reduceat(rows[1:], first, axis=1, dtype=rows.dtype)])
 
 
 def with_trust(docs: DataFrame, labels: DataFrame, output: str) -> DataFrame:
@@ -140,10 +140,12 @@ def gram_model(docs: DataFrame, labels: DataFrame, bits: int | None = None) -> P
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             part = found[:, cuts[k] : cuts[k + 1]]
             # Neighbouring buckets differ by little, which compresses well.
-            raw = np.concatenate([np.diff(part[0], prepend=k * SLICE), part[1], part[2]]).astype(np.uint32)
+            raw = np.concatenate([np.diff(part[0], prepend=np.uint32(k * SLICE)), part[1], part[2]])
             packed = pa.compress(raw.tobytes(), "zstd", asbytes=True)
             columns = [pa.array([k], pa.int32()), pa.array([part.shape[1]], pa.int32()), pa.array([packed], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["slice", "buckets", "counts"])
+        del counts, found
+        ta.give_back()
 
     def add(slices: pa.Table) -> pa.Table:
         total = np.zeros((2, SLICE))
@@ -242,6 +244,8 @@ def with_quality(docs: DataFrame, labels: DataFrame, model: PackedModel, least_r
         counts = model.unpacked()
         for text, trusted in batches:
             yield measure(ta.as_large(text), np.asarray(trusted), counts)
+        del counts
+        ta.give_back()
 
     trusted = free_name(docs, "_trusted")
     q = F.col(output)

@@ -7,6 +7,8 @@ over the bytes, taken from running sums, then mixed. No Python object is made pe
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +21,15 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 BLOCK_BYTES = 2 << 20
 
 
+def give_back() -> None:
+    """Hand memory that is free to the system at the end of a task: Spark keeps its Python workers for the next ones."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit generator: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * MIX_1

@@ -148,6 +148,7 @@ def write_ids(docs: DataFrame, store: Store, tokenizer: str | None = None, end_i
                 ended = np.insert(ids, offsets[1:], np.uint32(end_id))
                 writer.add(doc_ids[done : done + rows], lengths, ended)
                 done += rows
+        ta.give_back()
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [place], "ids": [writer.ids], "documents": [len(writer.lengths)]})
