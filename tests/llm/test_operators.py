@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tradeflow.llm.embedding_links import link_embeddings
 from tradeflow.llm.language import identify_languages, learn_dictionaries
-from tradeflow.llm.licenses import scan_licenses
+from tradeflow.llm.licenses import LEAST_DICE, TEMPLATES, anchors, scan_licenses, template_words
 from tradeflow.llm.mixing import mix_sources, mixed_documents
 from tradeflow.llm.near_duplicates import distinct_documents, near_duplicate_classes
 from tradeflow.llm.quality import judge_quality
@@ -140,12 +140,74 @@ def test_languages(docs, rows, empty):
     assert identify_languages(empty).count() == 0
 
 
+MIT_OPENING = TEMPLATES["MIT"][1]
+BSD_2, BSD_3 = TEMPLATES["BSD-2-Clause"][0], TEMPLATES["BSD-3-Clause"][1]
+
+
 def test_licences(spark, empty):
-    texts = ["x\nReleased under the MIT License.\ny", "RELEASED under the mit license", "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.", "the", "", None]
-    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r.licenses for r in got] == ["MIT", "MIT", "CC-BY-NC-4.0;MIT", "", "", ""]
-    assert [r.best_dice for r in got] == [1.0, 1.0, 1.0, None, None, None]
+    cases = [
+        ("x\nReleased under the MIT License.\ny", "MIT", "MIT", 1.0),
+        ("RELEASED under the mit license", "MIT", "MIT", 1.0),
+        ("Licensed under CC BY-NC 4.0.\nReleased under the MIT License.", "CC-BY-NC-4.0;MIT", "CC-BY-NC-4.0", 1.0),
+        ("Copyright 2024 Foo. Released under the MIT License.", "MIT", "MIT", 1.0),
+        ("Released under the MIT License. See the LICENSE file.", "MIT", "MIT", 1.0),
+        (MIT_OPENING + ", and so on", "MIT", "MIT", 1.0),
+        ("# This work is licensed under the GNU General\n# Public License, version 3.", "GPL-3.0", "GPL-3.0", 1.0),
+        ("Copyright 2020\n" + "\n".join("// " + line for line in BSD_3.split("\n")), "BSD-3-Clause", "BSD-3-Clause", 1.0),
+        (BSD_2, "BSD-2-Clause", "BSD-2-Clause", 1.0),
+        # Very long, with a notice at its very end; repeated notices; words of a notice out of order.
+        ("plain words " * 200_000 + "licensed under cc by-sa 4.0", "CC-BY-SA-4.0", "CC-BY-SA-4.0", 1.0),
+        ("Released under the MIT License.\n" * 50, "MIT", "MIT", 1.0),
+        ("license the under released MIT", "", None, None),
+        ("the", "", None, None),
+        ("", "", None, None),
+        (None, "", None, None),
+    ]
+    rows = [(k, c[0], "extra") for k, c in enumerate(cases)]
+    docs = spark.createDataFrame(rows + rows[:1] + [(None, cases[0][0], "")], "doc_id long, text string, _words string")
+    got = scan_licenses(docs).collect()
+    by_id = {r.doc_id: (r.licenses, r.best_license, r.best_dice) for r in got}
+    assert [by_id[k] for k in range(len(cases))] == [c[1:] for c in cases]
+    assert len(got) == len(cases) + 2 and by_id[None] == by_id[0]
     assert scan_licenses(empty).count() == 0
+    assert {(r.licenses, r.best_license, r.best_dice) for r in scan_licenses(docs, {}).collect()} == {("", None, None)}
+
+
+def test_edited_licence_texts_against_brute_force(spark):
+    """Words dropped, changed and added at random: every aligned window of every template, without anchors or bounds on size."""
+    draw = np.random.default_rng(11)
+    known = [(n, w) for n, ws in sorted(TEMPLATES.items()) for w in map(template_words, ws)]
+    rows = []
+    for k in range(120):
+        words = ["intro"] * int(draw.integers(0, 4)) + list(known[k % len(known)][1]) + ["outro"] * int(draw.integers(0, 4))
+        for _ in range(int(draw.integers(0, 1 + len(words) // 6))):
+            at, what = int(draw.integers(0, len(words))), int(draw.integers(0, 3))
+            words[at : at + (what > 0)] = ["other"] * (what < 2)
+        rows.append((k, " ".join(words)))
+    pairs = lambda ws: {*zip(ws, ws[1:])}
+    expected = {}
+    for k, text in rows:
+        ws, hits = text.split(), []
+        for rank, (name, t) in enumerate(known):
+            chosen = {tuple(p.split(" ")) for p in anchors([" ".join(p) for p in pairs(t)], LEAST_DICE)}
+            for at in {max(0, i - j) for i, p in enumerate(zip(ws, ws[1:])) for j, q in enumerate(zip(t, t[1:])) if p == q and q in chosen}:
+                v, m = pairs(ws[at : at + len(t)]), pairs(t)
+                if 2 * len(v & m) / (len(v) + len(m)) >= LEAST_DICE:
+                    hits.append((2 * len(v & m) / (len(v) + len(m)), len(t), -rank, name, at))
+        stay = [h for h in hits if not any(g[3] != h[3] and g[4] < h[4] + h[1] and h[4] < g[4] + g[1] and g[:3] > h[:3] for g in hits)]
+        expected[k] = (";".join(sorted({h[3] for h in stay})), max(stay)[3] if stay else None, round(max(stay)[0], 6) if stay else None)
+    got = {r.doc_id: (r.licenses, r.best_license, r.best_dice) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected and len({e[0] for e in expected.values()}) > 5
+
+
+def test_a_window_that_reaches_the_coefficient_holds_an_anchor():
+    """Sets of a template's bigrams with as many missing as may be, and nothing else: each holds an anchor."""
+    for size in range(1, 60):
+        pairs = [f"w{k} v" for k in range(size)]
+        chosen = anchors(pairs, LEAST_DICE)
+        fewest = min(c for c in range(1, size + 1) if 2 * c >= LEAST_DICE * (c + size))
+        assert len(chosen) + fewest == size + 1
+
 
 
 def test_urls_follow_rules_and_links(spark, checkpoint_store):

@@ -69,26 +69,34 @@ FROM lined GROUP BY ALL
 MIX = MIX.replace("FROM lined GROUP BY ALL", "FROM lined GROUP BY doc_id, source, size, source_size, cap, weight")
 
 
-def licenses(templates: dict[str, str], least: float) -> str:
-    rows = ", ".join(f"('{name}', '{notice}')" for name, notice in sorted(templates.items()))
-    norm = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
-    pairs = (
-        "list_distinct(list_transform(range(1, len(string_split({0}, ' '))),"
-        " lambda i: string_split({0}, ' ')[i] || ' ' || string_split({0}, ' ')[i + 1]))"
-    )
+def licenses(templates: dict[str, tuple[str, ...]], least: float) -> str:
+    rows = ", ".join(f"('{name}', {i}, '{wording}')" for name, wordings in sorted(templates.items()) for i, wording in enumerate(wordings))
+    norm = "string_split(trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+    pairs = "list_transform(range(1, len({0})), lambda i: ({0})[i] || ' ' || ({0})[i + 1])"
     return f"""
-WITH templates AS (SELECT name, row_number() OVER (ORDER BY name) AS k, {pairs.format("n")} AS t FROM (SELECT name, {norm.format("notice")} AS n FROM (VALUES {rows}) AS v(name, notice))),
-units AS (
-  SELECT DISTINCT doc_id, u FROM (
-    SELECT doc_id, unnest(list_append(string_split(text, chr(10)), text)) AS u FROM documents) WHERE length(u) BETWEEN 3 AND 1000),
-sets AS (SELECT doc_id, {pairs.format("n")} AS s FROM (SELECT doc_id, {norm.format("u")} AS n FROM units)),
+WITH given AS (SELECT name, row_number() OVER (ORDER BY name, i) AS k, {norm.format("wording")} AS w FROM (VALUES {rows}) AS v(name, i, wording)),
+templates AS (SELECT name, k, len(w) AS words, {pairs.format("w")} AS l, list_distinct({pairs.format("w")}) AS t FROM given),
+ranked AS (
+  SELECT k, len(t) AS m, b, row_number() OVER (PARTITION BY k ORDER BY instr(b, ' ') DESC, b) AS r FROM (SELECT k, t, unnest(t) AS b FROM templates)),
+anchors AS (SELECT k, b FROM ranked WHERE r <= m - ceil(m * {least} / (2 - {least}) - 1e-9) + 1),
+places AS (
+  SELECT k, j, b FROM (SELECT k, unnest(l) AS b, generate_subscripts(l, 1) - 1 AS j FROM templates) JOIN anchors USING (k, b)),
+texts AS (SELECT row_number() OVER () AS id, doc_id, {norm.format("coalesce(text, '')")} AS w FROM documents),
+said AS (SELECT id, unnest({pairs.format("w")}) AS b, generate_subscripts({pairs.format("w")}, 1) - 1 AS i FROM texts),
+starts AS (SELECT DISTINCT id, k, greatest(0, i - j) AS s FROM said JOIN places USING (b)),
+windows AS (SELECT id, k, s, name, words, t, w[s + 1 : s + words] AS v FROM starts JOIN texts USING (id) JOIN templates USING (k)),
+sets AS (SELECT id, k, s, name, words, t, list_distinct({pairs.format("v")}) AS p FROM windows),
 hits AS (
-  SELECT doc_id, name, k, round(2 * len(list_intersect(s, t))::DOUBLE / (len(s) + len(t)), 6) AS dice
-  FROM sets, templates WHERE len(s) > 0 AND 2 * len(list_intersect(s, t)) >= {least} * (len(s) + len(t))),
+  SELECT id, k, s, name, words, 2 * len(list_intersect(p, t))::DOUBLE / (len(p) + len(t)) AS dice
+  FROM sets WHERE 2 * len(list_intersect(p, t))::DOUBLE / (len(p) + len(t)) >= {least}),
+kept AS (
+  SELECT * FROM hits AS h WHERE NOT EXISTS (
+    SELECT 1 FROM hits AS g WHERE g.id = h.id AND g.name <> h.name AND g.s < h.s + h.words AND h.s < g.s + g.words
+      AND (g.dice, g.words, -g.k) > (h.dice, h.words, -h.k))),
 found AS (
-  SELECT doc_id, array_to_string(list_sort(list_distinct(list(name))), ';') AS licenses, arg_max(name, (dice, -k)) AS best_license,
-    max(dice) AS best_dice FROM hits GROUP BY doc_id)
-SELECT doc_id, coalesce(licenses, '') AS licenses, best_license, best_dice FROM documents LEFT JOIN found USING (doc_id)
+  SELECT id, array_to_string(list_sort(list_distinct(list(name))), ';') AS licenses, arg_max(name, (dice, words, -k)) AS best_license,
+    round(max(dice), 6) AS best_dice FROM kept GROUP BY id)
+SELECT doc_id, coalesce(licenses, '') AS licenses, best_license, best_dice FROM texts LEFT JOIN found USING (id)
 """
 
 
