@@ -182,9 +182,10 @@ def _classes(docs: DataFrame, store: Store, least: float) -> DataFrame:
     usable = sketched.filter("words > 0 AND doc_id IS NOT NULL")
     first = F.min(F.struct("doc_id", "shingles", "bands", "signature")).alias("t")
     # The number that a text gets is kept with it, so every later step sees the same one.
-    texts = usable.groupBy(*KEYS).agg(first).select(*KEYS, "t.*", F.monotonically_increasing_id().alias("id"))
+    texts = usable.groupBy(*KEYS).agg(first, F.count(F.lit(1)).alias("rows"))
+    texts = texts.select(*KEYS, "rows", "t.*", F.monotonically_increasing_id().alias("id"))
     texts = store.keep(texts, "near-texts")
-    nodes = texts.drop("doc_id", *KEYS).withColumnRenamed("id", "doc_id")
+    nodes = texts.drop("doc_id", "rows", *KEYS).withColumnRenamed("id", "doc_id")
     members = _bucket_members(nodes, store)
     grams = _shingles_of(docs, members, texts, store)
     labels = _link(members, nodes, grams, store, least)
@@ -221,21 +222,26 @@ def _bucket_members(texts: DataFrame, store: Store) -> DataFrame:
 
 def _shingles_of(docs: DataFrame, members: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
     """(id, grams): the shingles of every text that shares a bucket."""
-    wanted = members.select(F.col("doc_id").alias("id")).distinct().join(texts.select("id", "doc_id", *KEYS), "id")
-    wanted = store.keep(wanted.select("id", "doc_id", *[F.col(k).alias(f"_{k}") for k in KEYS]), "near-wanted")
+    wanted = members.select(F.col("doc_id").alias("id")).distinct().join(texts.select("id", "doc_id", "rows", *KEYS), "id")
+    wanted = store.keep(wanted.select("id", "doc_id", "rows", *[F.col(k).alias(f"_{k}") for k in KEYS]), "near-wanted")
     found = docs.select("doc_id", "text").join(wanted, "doc_id")
-    made = found.select("doc_id", "id", *[f"_{k}" for k in KEYS], F.arrow_udf(_shingle_set, "grams array<long>, key_1 long, key_2 long")("text").alias("s"))
+    # Not deterministic for Spark: it would run the function once more for the comparison of names.
+    shingles = F.arrow_udf(_shingle_set, "grams array<long>, key_1 long, key_2 long").asNondeterministic()
+    made = found.select("id", "rows", *[f"_{k}" for k in KEYS], shingles("text").alias("s"))
     own = made.filter((F.col("s.key_1") == F.col("_key_1")) & (F.col("s.key_2") == F.col("_key_2")))
-    # Equal rows have equal shingles: one of them counts. They stand together already, as the join dealt them by doc_id.
-    return store.keep(own.groupBy("doc_id", "id").agg(F.first("s.grams").alias("grams")).select("id", "grams"), "near-shingles")
+    own = store.keep(own.select("id", "rows", F.col("s.grams").alias("grams")), "near-shingles")
+    # A text with one row has one row here. Of others, rows equal in doc_id too may have come: one of them counts.
+    again = own.filter("rows > 1").groupBy("id").agg(F.first("grams").alias("grams"))
+    return own.filter("rows = 1").select("id", "grams").unionByName(store.keep(again, "near-shingles-again"))
 
 
 def _link(members: DataFrame, texts: DataFrame, grams: DataFrame, store: Store, least: float) -> DataFrame:
     """Classes of all linked texts: every bucket's hub first, then the pairs that are still apart."""
-    links = store.keep(_verified(_hub_pairs(members, store, least), grams, least), "near-links-1")
+    hub_pairs = store.keep(_hub_pairs(members, store, least), "near-pairs-1")
+    links = store.keep(_verified(hub_pairs, grams, least), "near-links-1")
     labels = components(links, store, "near-components-1")
     apart = store.keep(_apart(members, labels, store), "near-apart")
-    pairs = _pairs_apart(apart, texts, grams, least)
+    pairs = store.keep(_pairs_apart(apart, texts, grams, store, least), "near-pairs-2")
     more = store.keep(_verified(pairs, grams, least), "near-links-2")
     return labels if more.isEmpty() else components(links.union(more), store, "near-components-2")
 
@@ -254,7 +260,7 @@ def _apart(members: DataFrame, labels: DataFrame, store: Store) -> DataFrame:
     return current.join(split, "bucket")
 
 
-def _pairs_apart(apart: DataFrame, texts: DataFrame, grams: DataFrame, least: float) -> DataFrame:
+def _pairs_apart(apart: DataFrame, texts: DataFrame, grams: DataFrame, store: Store, least: float) -> DataFrame:
     """Pairs of one bucket in different classes whose signatures agree enough, each once.
 
     One of a pair is outside the bucket's largest class: it is the probe, and the other the target.
@@ -264,7 +270,8 @@ def _pairs_apart(apart: DataFrame, texts: DataFrame, grams: DataFrame, least: fl
     """
     small = F.col("texts") * F.col("others") <= JOINED_PAIRS
     probe = F.col("component") != F.col("largest")
-    few, many = apart.filter(small), apart.filter(~small)
+    # Stored, so that Spark knows their size before it plans to move the shingles of all texts.
+    few, many = apart.filter(small), store.keep(apart.filter(~small), "near-many")
     lowest = grams.select(F.col("id").alias("doc_id"), F.slice("grams", 1, SKETCH_SHINGLES).alias("lowest"))
     many = many.join(lowest, "doc_id").join(texts.select("doc_id", "bands"), "doc_id")
     other = few.select(
@@ -360,8 +367,10 @@ def _hub_pairs(members: DataFrame, store: Store, least: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, grams: DataFrame, least: float) -> DataFrame:
-    a = grams.select(F.col("id").alias("doc_id"), F.col("grams").alias("a"))
-    b = grams.select(F.col("id").alias("hub"), F.col("grams").alias("b"))
+    """Links (u, v) among stored ``pairs``. Shingles of a text are moved only where one of its pairs is checked."""
+    of_pairs = lambda side: grams.join(pairs.select(F.col(side).alias("id")).distinct(), "id", "left_semi")
+    a = of_pairs("doc_id").select(F.col("id").alias("doc_id"), F.col("grams").alias("a"))
+    b = of_pairs("hub").select(F.col("id").alias("hub"), F.col("grams").alias("b"))
     common = F.size(F.array_intersect("a", "b"))
     return (
         pairs.join(a, "doc_id")
