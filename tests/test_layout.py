@@ -141,3 +141,12 @@ def test_places_follow_the_order_of_values(spark):
     assert layout.cut_points(nan, {"v": layout.place_of(nan, "v")}, 2) == {"v": [1.0]}
     none = nan.limit(0)
     assert layout.cut_points(none, {"v": layout.place_of(none, "v")}, 2) == {"v": []}
+
+
+def test_no_task_of_a_compaction_copies_more_than_a_split(spark, scattered, folder, monkeypatch):
+    """A table of 2 GiB by its listing is copied by 16 tasks, not by 2."""
+    seen = []
+    monkeypatch.setattr(layout.tables, "stored_bytes", lambda *_: 2 << 30)
+    monkeypatch.setattr(layout, "_write", lambda df, *_: seen.append(df.rdd.getNumPartitions()))
+    layout.compact(spark, scattered, f"{folder}/out")
+    assert seen == [16]

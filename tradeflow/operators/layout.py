@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from tradeflow.operators import changelog
 from tradeflow.sources import tables
 
-BYTES_PER_FILE = 1 << 30
+#: One task writes a file, so a file is no more than one scan split (``spark.sql.files.maxPartitionBytes``).
+BYTES_PER_FILE = 1 << 27
 BITS = 6
 MAX_Z_COLUMNS = 8
 #: Bytes of a text that count for its place, after those that all texts of the column share.
