@@ -150,3 +150,12 @@ def test_no_task_of_a_compaction_copies_more_than_a_split(spark, scattered, fold
     monkeypatch.setattr(layout, "_write", lambda df, *_: seen.append(df.rdd.getNumPartitions()))
     layout.compact(spark, scattered, f"{folder}/out")
     assert seen == [16]
+
+
+def test_clustered_files_are_sized_by_decoded_rows(spark, folder, monkeypatch):
+    """Texts that compress to nothing still have to be sorted: 16 MB of them take 16 files of 1 MB."""
+    monkeypatch.setattr(layout, "SORTED_BYTES", 1 << 20)
+    spark.range(4000).select("id", F.repeat(F.lit("x"), 4096).alias("text"), F.array("id").alias("list")).write.parquet(f"{folder}/in")
+    out = layout.cluster(spark, f"{folder}/in", f"{folder}/out", ["id"])
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in files(f"{folder}/out")]
+    assert out.count() == 4000 and len(sizes) >= 16 and max(sizes) <= 500

@@ -15,6 +15,8 @@ from tradeflow.sources import tables
 
 #: One task writes a file, so a file is no more than one scan split (``spark.sql.files.maxPartitionBytes``).
 BYTES_PER_FILE = 1 << 27
+#: Rows of a clustered file are sorted in one task, which holds them decoded.
+SORTED_BYTES = 1 << 27
 BITS = 6
 MAX_Z_COLUMNS = 8
 #: Bytes of a text that count for its place, after those that all texts of the column share.
@@ -49,12 +51,15 @@ def cluster(
 ) -> DataFrame:
     """Copy the table at ``path`` so that rows near each other in all ``columns`` share files.
 
-    Min/max statistics in the Parquet footers then skip files and row groups for filters on any of
+    A file has at most about ``bytes_per_file``, and about ``SORTED_BYTES`` of decoded rows, as its rows are sorted
+    by one task; or ``rows_per_file`` where given. Min/max statistics in the Parquet footers then skip files and row groups for filters on any of
     the columns.
     """
     df = _plain_table(spark, path)
     names = df.columns
     files = _files(spark, path, df, rows_per_file, bytes_per_file)
+    if not rows_per_file:
+        files = max(files, ceil(decoded_bytes(df) / SORTED_BYTES))
     bits = bits or _bits(files, len(columns))
     places = {c: place_of(df, c) for c in known_columns(df, columns)}
     cuts = cut_points(df, places, bits)
@@ -92,6 +97,17 @@ def _files(spark: SparkSession, path: str, df: DataFrame, rows_per_file: int | N
     return max(1, ceil(tables.stored_bytes(spark, path) / bytes_per_file))
 
 
+def decoded_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as a sort holds them: eight a column, and the contents of texts and nested values."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    row = F.lit(8 * (len(df.columns) + 4))
+    for field in df.schema.fields:
+        if not isinstance(field.dataType, fixed):
+            text = F.col(field.name) if isinstance(field.dataType, T.BinaryType) else F.col(field.name).cast("string")
+            row = row + F.coalesce(F.octet_length(text), F.lit(0))
+    return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
+
+
 def _bits(files: int, columns: int) -> int:
     """Enough buckets per column for several z values per file, within 62 bits for all columns."""
     return max(BITS, min(62 // max(columns, 1), 14, ceil((files.bit_length() + 2) / max(columns, 1))))
