@@ -60,7 +60,14 @@ def mark_replaced(
     themselves are shuffled once, and no key gathers them. ``newest_first`` must be descending, nulls last.
     Of rows that tie in it the one with the greatest id stays.
     """
+    first = first_ids(df, keys, newest_first, eligible, row_id, "_first")
+    return df.join(first, list(row_id), "left").withColumn(flag, eligible & F.col("_first").isNull()).drop("_first")
+
+
+def first_ids(
+    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], eligible: Column, row_id: Sequence[str], flag: str
+) -> DataFrame:
+    """The identity of the best eligible row of every key, and ``flag``, which is true."""
     ranking = F.struct(*[c.alias(f"_{k}") for k, c in enumerate(newest_first)], *row_id)
     best = df.groupBy(key_hash(keys).alias("_hash"), *keys).agg(F.max(F.when(eligible, ranking)).alias("_best"))
-    first = best.filter("_best IS NOT NULL").select(*[F.col(f"_best.{c}") for c in row_id], F.lit(True).alias("_first"))
-    return df.join(first, list(row_id), "left").withColumn(flag, eligible & F.col("_first").isNull()).drop("_first")
+    return best.filter("_best IS NOT NULL").select(*[F.col(f"_best.{c}") for c in row_id], F.lit(True).alias(flag))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.functions.typed import is_missing, is_not_positive, is_not_price, to_double, to_instant, to_long
-from tradeflow.operators.latest import latest_per_key, mark_replaced, mark_superseded
+from tradeflow.operators.latest import first_ids, latest_per_key, mark_superseded
 from tradeflow.operators.rules import Rule, label_first
 from tradeflow.sources import tables
 from tradeflow.sources.schemas import CLEAN, DUPLICATE, PROVENANCE, QUARANTINED, REASON, STATUS
@@ -100,13 +100,21 @@ def label(raw: DataFrame, feed: Feed) -> DataFrame:
 
 
 def label_stored(raw: DataFrame, feed: Feed) -> DataFrame:
-    """``label`` for a stored raw table: replaced copies are found through the identity of stored rows."""
+    """``label`` for a stored raw table: replaced copies are found through the identity of stored rows.
+
+    Provenance is mostly one value for a whole batch. Such a column breaks no tie, so it is neither ranked nor
+    shuffled but put back as a literal. Rows are converted after the join, so typed values are not shuffled either.
+    """
     if not feed.unique_key:
         return label_rows(raw, feed)
-    labelled = label_rows(tables.with_row_id(raw), feed)
-    marked = mark_replaced(labelled, feed.unique_key, feed.ranking(), F.col(REASON).isNull(), "_superseded", tables.ROW_ID)
-    reason = F.when(F.col("_superseded"), F.lit(DUPLICATE)).otherwise(F.col(REASON))
-    return marked.withColumn(REASON, reason).drop("_superseded", *tables.ROW_ID)
+    same = tables.single_values(raw, PROVENANCE)
+    rows = tables.with_row_id(raw.drop(*same))
+    labelled = label_rows(rows.withColumns(same), feed)
+    first = first_ids(labelled, feed.unique_key, feed.ranking(), F.col(REASON).isNull(), tables.ROW_ID, "_first")
+    joined = rows.join(first, list(tables.ROW_ID), "left").withColumns(same).select(*raw.columns, "_first")
+    marked = label_rows(joined, feed)
+    reason = F.when(F.col(REASON).isNull() & F.col("_first").isNull(), F.lit(DUPLICATE)).otherwise(F.col(REASON))
+    return marked.withColumn(REASON, reason).drop("_first")
 
 
 def select_clean(labelled: DataFrame, feed: Feed) -> DataFrame:

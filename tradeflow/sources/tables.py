@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -61,6 +63,19 @@ def with_row_id(table: DataFrame) -> DataFrame:
     return table.select("*", *[value.alias(name) for value, name in zip(place, ROW_ID)])
 
 
+def single_values(table: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Those of ``columns`` that hold one value, or only NULL, in every row of a stored table, as literals of it.
+
+    One pass that reads these columns only.
+    """
+    found = table.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[f(c).alias(f"{c}_{name}") for c in columns for name, f in (("least", F.min), ("most", F.max), ("known", F.count))],
+    ).first()
+    one = [c for c in columns if found[f"{c}_known"] in (0, found["rows"]) and found[f"{c}_least"] == found[f"{c}_most"]]
+    return {c: F.lit(found[f"{c}_least"]).cast(table.schema[c].dataType) for c in one}
+
+
 def overwrite_parts(df: DataFrame, path: str, by: str) -> None:
     """Replace the table by one folder per value of ``by``, in one write."""
     df.write.mode("overwrite").partitionBy(by).parquet(path)
