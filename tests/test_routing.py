@@ -119,3 +119,15 @@ def test_provenance_of_one_value_is_not_shuffled(spark, folder, files):
 def test_a_table_without_rows_has_single_values(spark, folder):
     raw(spark, ORDER).limit(0).write.parquet(folder + "/t")
     assert v.label_stored(tables.read(spark, folder + "/t"), v.ORDERS).count() == 0
+
+
+def test_source_files_are_compressed(spark, folder):
+    import glob
+
+    from tradeflow.plans import registry
+
+    feed = raw(spark, ORDER, dict(order_id="a"), dict(order_id="b")).drop(*PROVENANCE)
+    for kind in ("json", "csv"):
+        registry._write_with_bad_lines(feed, f"{folder}/{kind}", kind, ("bad",))
+        found = glob.glob(f"{folder}/{kind}/good/part-*")
+        assert found and all(name.endswith(".gz") for name in found)
