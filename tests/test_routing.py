@@ -131,3 +131,14 @@ def test_source_files_are_compressed(spark, folder):
         registry._write_with_bad_lines(feed, f"{folder}/{kind}", kind, ("bad",))
         found = glob.glob(f"{folder}/{kind}/good/part-*")
         assert found and all(name.endswith(".gz") for name in found)
+
+
+def test_defects_make_and_store_the_orders_once(spark, monkeypatch):
+    from frames import SF_DIR
+
+    from tradeflow.plans import registry
+
+    made, source = [], registry.feeds.raw_orders
+    monkeypatch.setattr(registry.feeds, "raw_orders", lambda *a: made.append(a) or source(*a))
+    registry.acceptance_defects(spark, SF_DIR)
+    assert len(made) == 1
