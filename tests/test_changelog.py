@@ -259,3 +259,13 @@ def test_commit_counts_are_those_of_the_written_rows(spark, folder):
         c.append(spark, batch(spark, **changed), log, ["order_id"])
     assert rows(c.table_history(spark, log)) == rows(c.history(c.read_log(spark, log)))
     assert c.versions(spark, log) == [0, 1]
+
+
+def test_the_first_version_is_read_without_ranking(spark, folder):
+    c.append(spark, spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long"), folder + "/log", ["k"])
+    c.append(spark, spark.createDataFrame([("a", 3)], "k string, v long"), folder + "/log", ["k"])
+    log = c.read_log(spark, folder + "/log")
+    first, second = (c.as_of(log, ["k"], version) for version in (0, 1))
+    assert sorted(map(tuple, first.collect())) == [("a", 1), ("b", 2)] and sorted(map(tuple, second.collect())) == [("a", 3), ("b", 2)]
+    exchanges = [df._jdf.queryExecution().toString().count("Exchange") for df in (first, second)]
+    assert exchanges[0] == 0 < exchanges[1]

@@ -214,9 +214,11 @@ def as_of(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
     """The table at a version: the newest image per key up to it.
 
     The version bound prunes partitions, and each map task keeps one image per key, so keys that
-    change often are not gathered.
+    change often are not gathered. Version 0 has one image per key, as a batch repeats no key: nothing is ranked.
     """
     upto = log.filter(F.col(VERSION) <= version)
+    if version == 0:
+        return upto.drop(*LOG_COLUMNS)
     return latest_per_key(upto, keys, [F.col(VERSION).desc()]).drop(*LOG_COLUMNS)
 
 
