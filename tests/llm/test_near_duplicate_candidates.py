@@ -61,3 +61,23 @@ def test_equal_ids_with_different_texts_keep_every_text(spark, checkpoint_store)
     classes = nd.near_duplicate_classes(docs, checkpoint_store).collect()
     assert len(classes) == len(rows)
     assert sorted((r.doc_id, r.class_id) for r in classes if r.doc_id in (0, 1, 4) and r.words) == [(0, 0), (1, 0), (1, 1), (4, 1)]
+
+
+def test_texts_that_share_no_bucket_are_dropped_before_the_shuffle(spark, monkeypatch):
+    from tradeflow.llm import near_duplicates, storage
+
+    plans, keep = {}, storage.Store.keep
+    monkeypatch.setattr(storage.Store, "keep", lambda self, df, name: plans.setdefault(name, df._jdf.queryExecution().toString()) and keep(self, df, name))
+    near = " ".join(f"w{k}" for k in range(60))
+    made = [(k, " ".join(f"t{k}-{n}" for n in range(40))) for k in range(50)] + [(50, near), (51, near + " more")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = storage.Store(spark)
+        docs = store.keep(spark.createDataFrame(made, "doc_id long, text string"), "docs")
+        classes = near_duplicates.near_duplicate_classes(docs, store).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [r.doc_id for r in classes if not r.kept] == [51]
+    assert "might_contain" in plans["near-shingles"]
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold") != "1t"

@@ -151,6 +151,12 @@ def _shingle_set(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 KEYS = ["key_1", "key_2"]
+#: Spark's own runtime filter, whatever the sizes: texts that are not wanted are dropped before the shuffle.
+ONLY_WANTED = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+}
 
 
 def near_duplicate_classes(docs: DataFrame, store: Store, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -221,15 +227,20 @@ def _bucket_members(texts: DataFrame, store: Store) -> DataFrame:
 
 
 def _shingles_of(docs: DataFrame, members: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
-    """(id, grams): the shingles of every text that shares a bucket."""
+    """(id, grams): the shingles of every text that shares a bucket.
+
+    Few texts share one, so a Bloom filter of their doc_ids goes before the join: the others are not shuffled.
+    """
     wanted = members.select(F.col("doc_id").alias("id")).distinct().join(texts.select("id", "doc_id", "rows", *KEYS), "id")
     wanted = store.keep(wanted.select("id", "doc_id", "rows", *[F.col(k).alias(f"_{k}") for k in KEYS]), "near-wanted")
-    found = docs.select("doc_id", "text").join(wanted, "doc_id")
+    # Spark builds the filter only from a side that itself is filtered; every text has rows.
+    found = docs.select("doc_id", "text").join(wanted.filter("rows > 0"), "doc_id")
     # Not deterministic for Spark: it would run the function once more for the comparison of names.
     shingles = F.arrow_udf(_shingle_set, "grams array<long>, key_1 long, key_2 long").asNondeterministic()
     made = found.select("id", "rows", *[f"_{k}" for k in KEYS], shingles("text").alias("s"))
     own = made.filter((F.col("s.key_1") == F.col("_key_1")) & (F.col("s.key_2") == F.col("_key_2")))
-    own = store.keep(own.select("id", "rows", F.col("s.grams").alias("grams")), "near-shingles")
+    with store.settings(ONLY_WANTED):
+        own = store.keep(own.select("id", "rows", F.col("s.grams").alias("grams")), "near-shingles")
     # A text with one row has one row here. Of others, rows equal in doc_id too may have come: one of them counts.
     again = own.filter("rows > 1").groupBy("id").agg(F.first("grams").alias("grams"))
     return own.filter("rows = 1").select("id", "grams").unionByName(store.keep(again, "near-shingles-again"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -25,6 +28,18 @@ class Store:
         # The schema is known, so no job has to open the files for it.
         return self.spark.read.schema(_nullable(df.schema)).parquet(path)
 
+    @contextmanager
+    def settings(self, wanted: Mapping[str, str]) -> Iterator[None]:
+        """Settings of the session that hold for the tables written meanwhile."""
+        before = {key: self.spark.conf.get(key, None) for key in wanted}
+        try:
+            for key, value in wanted.items():
+                self.spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()
